@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskmart import config as C
-from riskmart.operators.ordered import _interpolated, running_totals
+from riskmart.operators.ordered import interpolated, running_totals
 
 MISSING = -1
 ARRAY_EDGES = 64
@@ -27,20 +27,21 @@ def decile_edges(long: DataFrame, keys: list[str], bins: int = 10) -> DataFrame:
 
     Distinct deciles without the outermost two. With at most two distinct deciles the edges are the
     midpoints between all neighbouring distinct values. Constant or empty variables have no inner edge.
+    The counted values and the edges are read several times, so both are checkpointed.
     """
     counted = long.select(*keys, "value", F.lit(1).cast("long").alias("_n"))
-    runs = running_totals(counted, keys, "value", ["_n"])
-    deciles = _interpolated(runs, keys, "value", [i / bins for i in range(bins + 1)])
+    runs = running_totals(counted, keys, "value", ["_n"]).checkpoint()
+    deciles = interpolated(runs, keys, "value", [i / bins for i in range(bins + 1)])
     distinct = deciles.select(*keys, F.array_distinct("quantiles").alias("e"))
+    # one array of at most bins + 1 numbers per variable; a variable is a column, a key a model version
+    shaped = runs.where(F.col("prev_value").isNotNull()).join(F.broadcast(distinct.where(F.size("e") == 2)), keys, "left_semi")
+    middle = shaped.select(
+        *keys, (F.col("place") - 1).alias("edge_no"), ((F.col("prev_value") + F.col("value")) / 2).alias("edge")
+    )
     inner = distinct.where(F.size("e") > 2).select(
         *keys, F.posexplode(F.slice("e", F.lit(2), F.size("e") - 2)).alias("_i", "edge")
     ).select(*keys, (F.col("_i") + 1).cast("long").alias("edge_no"), "edge")
-
-    few = distinct.where(F.size("e") == 2).select(*keys)
-    levels = runs.where(F.col("prev_value").isNotNull()).join(few, keys, "left_semi")
-    middle = levels.select(*keys, ((F.col("prev_value") + F.col("value")) / 2).alias("edge"), F.lit(1).cast("long").alias("_n"))
-    numbered = running_totals(middle, keys, "edge", ["_n"]).select(*keys, F.col("cum__n").alias("edge_no"), "edge")
-    return inner.unionByName(numbered)
+    return inner.unionByName(middle).checkpoint()
 
 
 def bin_counts(long: DataFrame, edges: DataFrame, keys: list[str], edge_keys: list[str]) -> DataFrame:
@@ -49,29 +50,31 @@ def bin_counts(long: DataFrame, edges: DataFrame, keys: list[str], edge_keys: li
     ``edge_keys`` (part of ``keys``) say which edges apply. Variables with few edges look their bin up in
     a short array, without a shuffle of the rows; the others are merged with their edges in value order.
     """
-    sized = edges.groupBy(*edge_keys).agg(F.count("*").alias("_edges"))
-    narrow = sized.where(F.col("_edges") <= ARRAY_EDGES)
-    # one array of at most 64 numbers per variable and model version
-    arrays = edges.join(narrow, edge_keys, "left_semi").groupBy(*edge_keys).agg(
-        F.array_sort(F.collect_list("edge")).alias("_e")
+    # per variable and version: an array of at most 64 edges, or none when there are more
+    lookup = edges.groupBy(*edge_keys).agg(
+        F.count("*").alias("_edges"),
+        F.array_sort(F.collect_list(F.when(F.col("edge_no") <= ARRAY_EDGES, F.col("edge")))).alias("_e"),
+    )
+    marked = long.join(F.broadcast(lookup), edge_keys, "left")
+    many = F.coalesce(F.col("_edges") > ARRAY_EDGES, F.lit(False)) & F.col("value").isNotNull()
+    position = (
+        F.when(F.col("value").isNull(), MISSING).when(F.col("_e").isNull(), 0)
+        .otherwise(F.size(F.filter("_e", lambda e: e <= F.col("value"))))
+    )
+    direct = marked.where(~many).groupBy(*keys, position.cast("long").alias("bin")).agg(F.count("*").alias("n"))
+    if lookup.where(F.col("_edges") > ARRAY_EDGES).isEmpty():
+        return direct
+
+    # many edges: the distinct values share one ordered run with the edges that apply to them
+    cells = marked.where(many).groupBy(*keys, "value").agg(F.count("*").alias("n"))
+    wide = lookup.where(F.col("_edges") > ARRAY_EDGES).select(*edge_keys)
+    steps = edges.join(F.broadcast(wide), edge_keys, "left_semi").select(
+        *edge_keys, F.col("edge").alias("value"), F.lit(1).cast("long").alias("_step")
     )
-    wide = sized.where(F.col("_edges") > ARRAY_EDGES).select(*edge_keys, F.lit(True).alias("_wide"))
-    marked = long.join(F.broadcast(arrays), edge_keys, "left").join(F.broadcast(wide), edge_keys, "left")
-
-    position = F.when(F.col("value").isNull(), MISSING).when(
-        F.col("_e").isNull(), 0
-    ).otherwise(F.size(F.filter("_e", lambda e: e <= F.col("value"))))
-    direct = marked.where(F.col("_wide").isNull() | F.col("value").isNull())
-    counted = direct.groupBy(*keys, position.cast("long").alias("bin")).agg(F.count("*").alias("n"))
-
-    # many edges: every group's distinct values share one ordered run with the edges that apply to them
-    cells = marked.where(F.col("_wide") & F.col("value").isNotNull()).groupBy(*keys, "value").agg(F.count("*").alias("n"))
-    steps = edges.join(wide, edge_keys, "left_semi").select(*edge_keys, F.col("edge").alias("value"), F.lit(1).cast("long").alias("_step"))
     values = cells.select(*edge_keys, "value", F.lit(0).cast("long").alias("_step"))
     runs = running_totals(values.unionByName(steps), edge_keys, "value", ["_step"])
     placed = cells.join(runs.select(*edge_keys, "value", F.col("cum__step").alias("bin")), edge_keys + ["value"])
-    merged = placed.groupBy(*keys, "bin").agg(F.sum("n").alias("n"))
-    return counted.unionByName(merged)
+    return direct.unionByName(placed.groupBy(*keys, "bin").agg(F.sum("n").alias("n")))
 
 
 def proportions(counts: DataFrame, keys: list[str]) -> DataFrame:
@@ -82,7 +85,7 @@ def proportions(counts: DataFrame, keys: list[str]) -> DataFrame:
 
 def with_empty_bins(shares: DataFrame, edges: DataFrame, keys: list[str]) -> DataFrame:
     """All bins of each variable, empty ones and the missing bin with share 0."""
-    ends = shares.select(*keys).distinct().select(*keys, F.explode(F.array(F.lit(MISSING), F.lit(0))).cast("long").alias("bin"))
+    ends = shares.select(*keys).distinct().select(*keys, F.explode(F.expr(f"array({MISSING}L, 0L)")).alias("bin"))
     spine = ends.unionByName(edges.select(*keys, F.col("edge_no").alias("bin")))
     return spine.join(shares, keys + ["bin"], "left").select(
         *keys, "bin", F.coalesce("n", F.lit(0)).cast("long").alias("n"), F.coalesce("proportion", F.lit(0.0)).alias("proportion")
@@ -94,7 +97,7 @@ def _term(actual, expected):
 
 
 def psi(actual: DataFrame, reference: DataFrame, keys: list[str], reference_keys: list[str]) -> DataFrame:
-    """(keys, psi): sum over bins of (a - r) ln(a / r), shares floored at a small constant.
+    """(keys, psi, missing_rate, reference_missing); psi is the sum over bins of (a - r) ln(a / r), shares floored.
 
     ``actual`` and ``reference`` are bin shares; ``reference_keys`` (part of ``keys``) find the reference
     of a group. Reference bins absent from a group are not laid out per group: their terms depend on the
@@ -103,11 +106,18 @@ def psi(actual: DataFrame, reference: DataFrame, keys: list[str], reference_keys
     floor = F.lit(C.PSI_FLOOR)
     r = F.greatest(F.coalesce("_r", F.lit(0.0)), floor)
     absent = _term(floor, r)
+
+    def missing(share):
+        return F.coalesce(F.sum(F.when(F.col("bin") == MISSING, F.col(share))), F.lit(0.0))
+
     bins = reference.select(*reference_keys, "bin", F.col("proportion").alias("_r"))
-    whole = bins.groupBy(*reference_keys).agg(F.sum(absent).alias("_all_absent"))
+    whole = bins.groupBy(*reference_keys).agg(F.sum(absent).alias("_all_absent"), missing("_r").alias("reference_missing"))
     joined = actual.join(bins, reference_keys + ["bin"], "left")
     # bins unknown to the reference count as a floored reference share; their absent term is zero
-    own = joined.groupBy(*keys).agg(F.sum(_term(F.greatest("proportion", floor), r) - absent).alias("_own"))
+    own = joined.groupBy(*keys).agg(
+        F.sum(_term(F.greatest("proportion", floor), r) - absent).alias("_own"),
+        missing("proportion").alias("missing_rate"),
+    )
     return own.join(whole, reference_keys, "left").select(
-        *keys, (F.col("_own") + F.col("_all_absent")).alias("psi")
+        *keys, (F.col("_own") + F.col("_all_absent")).alias("psi"), "missing_rate", "reference_missing",
     )

@@ -38,12 +38,15 @@ def long_rows(df: DataFrame, group: str, monitored: Column, facts: list[Column])
 
 
 def reference_profile(reference: DataFrame, keys: list[str], variables: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Bin edges and bin shares of every variable over the reference rows: (edges, shares) in long form."""
+    """Bin edges and bin shares of every variable over the reference rows: (edges, shares) in long form.
+
+    A profile is stored with its model version; both tables are checkpointed here.
+    """
     long = drift.melt(reference, keys, variables)
     by = keys + ["variable"]
     edges = drift.decile_edges(long, by)
     shares = drift.proportions(drift.bin_counts(long, edges, by, by), by)
-    return edges, shares
+    return edges, shares.checkpoint()
 
 
 def variable_drift(current: DataFrame, edges: DataFrame, shares: DataFrame, keys: list[str],
@@ -52,12 +55,7 @@ def variable_drift(current: DataFrame, edges: DataFrame, shares: DataFrame, keys
     long = drift.melt(current, keys, variables)
     by, ref_by = keys + ["variable"], reference_keys + ["variable"]
     now = drift.proportions(drift.bin_counts(long, edges, by, ref_by), by)
-    index = drift.psi(now, shares, by, ref_by)
-    missing = now.groupBy(*by).agg(
-        F.coalesce(F.sum(F.when(F.col("bin") == drift.MISSING, F.col("proportion"))), F.lit(0.0)).alias("missing_rate")
-    )
-    before = shares.where(F.col("bin") == drift.MISSING).select(*ref_by, F.col("proportion").alias("reference_missing"))
-    return index.join(missing, by).join(before, ref_by, "left").fillna(0.0, ["reference_missing"])
+    return drift.psi(now, shares, by, ref_by)
 
 
 def score_volume(predictions: DataFrame, keys: list[str]) -> DataFrame:
@@ -84,15 +82,13 @@ def stability_by_slot(predictions: DataFrame, references: DataFrame, edges: Data
     shift = variable_drift(predictions, edges, shares, COHORT, version, ["score", *features])
     lights = light.high_is_bad(F.col("psi"), policy.psi_lights)
     is_score = F.col("variable") == "score"
+    risen = F.col("missing_rate") - F.coalesce("reference_missing", F.lit(0.0))
     drifted = long_rows(shift, "stability", F.col("snapshot_date"), [
         fact(F.when(is_score, "psi_score").otherwise(F.concat(F.lit("csi__"), "variable")), "psi", None, lights),
-    ])
-    risen = F.col("missing_rate") - F.col("reference_missing")
-    absent = long_rows(shift.where(~is_score), "stability", F.col("snapshot_date"), [
-        fact(F.concat(F.lit("missing__"), "variable"), "missing_rate", "reference_missing",
+        fact(F.when(~is_score, F.concat(F.lit("missing__"), "variable")), "missing_rate", "reference_missing",
              light.red_above(risen, policy.missing_increase_red)),
     ])
-    return counts.unionByName(drifted).unionByName(absent)
+    return counts.unionByName(drifted.where(F.col("metric").isNotNull()))
 
 
 def stability_production(routed: DataFrame, policy: Policy) -> DataFrame:
@@ -117,15 +113,15 @@ def stability_production(routed: DataFrame, policy: Policy) -> DataFrame:
     return facts.where((F.col("metric") != "clickstream_coverage") | F.col("reference_value").isNotNull())
 
 
-def performance(matured: DataFrame, expected: DataFrame, policy: Policy, keys: list[str] = tuple(COHORT)) -> DataFrame:
+def performance(matured: DataFrame, expected: DataFrame, expected_by: list[str], policy: Policy) -> DataFrame:
     """Fourteen metrics per cohort whose labels have matured.
 
-    ``matured`` has predictions with label and threshold; ``expected`` has keys and ``ref_auc``.
+    ``matured`` has predictions with label and threshold; ``expected`` has ``ref_auc`` by ``expected_by``.
     """
-    keys = list(keys)
+    keys = list(COHORT)
     ranks = rank_metrics(matured, keys)
     cut = cutoff_summary(matured, keys, also=[F.avg("label").alias("actual"), F.avg("score").alias("predicted")])
-    joined = cut.join(ranks, keys, "left").join(expected, keys, "left")
+    joined = cut.join(ranks, keys, "left").join(expected, expected_by, "left")
     gap = F.abs(F.col("predicted") - F.col("actual"))
     drop = F.col("ref_auc") - F.col("auc")
     return long_rows(joined, "performance", F.add_months("snapshot_date", policy.label_mob), [
@@ -152,16 +148,12 @@ def expected_auc(decisions: DataFrame, oot: DataFrame, keys: list[str]) -> DataF
 
 
 def performance_by_slot(matured: DataFrame, oot: DataFrame, policy: Policy) -> DataFrame:
-    cohorts = matured.select(*COHORT).distinct()
-    expected = cohorts.join(
-        oot.select("model_slot", "model_version", F.col("oot_auc").alias("ref_auc")), ["model_slot", "model_version"], "left"
-    )
-    return performance(matured, expected, policy)
+    version = ["model_slot", "model_version"]
+    return performance(matured, oot.select(*version, F.col("oot_auc").alias("ref_auc")), version, policy)
 
 
 def performance_of_production(matured_routed: DataFrame, oot: DataFrame, policy: Policy) -> DataFrame:
     """Pooled over the versions that decided."""
     expected = expected_auc(matured_routed, oot, ["snapshot_date"])
     pooled = matured_routed.drop("model_version").withColumn("model_version", F.lit("routed"))
-    named = expected.select("*", F.lit(C.PRODUCTION).alias("model_slot"), F.lit("routed").alias("model_version"))
-    return performance(pooled, named, policy)
+    return performance(pooled, expected, ["snapshot_date"], policy)

@@ -32,7 +32,8 @@ def running_totals(
     df: DataFrame, keys: list[str], order: str, sums: list[str], descending: bool = False, ranges: int | None = None
 ) -> DataFrame:
     """One row per (keys, order) with ``c``, ``cum_c`` (inclusive) and ``total_c`` for each c in sums,
-    and ``prev_<order>``, the neighbouring value before it in the chosen direction.
+    ``prev_<order>``, the neighbouring value before it in the chosen direction, and ``place``, its number among
+    the distinct values from 1.
 
     Rows with a null ``order`` are left out.
     """
@@ -43,7 +44,8 @@ def running_totals(
     fractions = [i / ranges for i in range(1, ranges)]
     sketch = F.percentile_approx(order, fractions, 20 * ranges).alias("cuts")
     cuts = cells.select(F.struct(sketch, *[F.sum(c).alias(c) for c in sums])).scalar().getField("cuts")
-    cells = cells.withColumn("_cuts", cuts)
+    cells = cells.withColumn("_cuts", cuts).withColumn("_one", F.lit(1).cast("long"))
+    sums = [*sums, "_one"]
     position = _range_of(F.col(order), F.col("_cuts"), ranges - 1)
     cells = cells.withColumn("_range", -position if descending else position).drop("_cuts")
 
@@ -64,10 +66,11 @@ def running_totals(
     within = W.partitionBy(*keys, "_range").orderBy("_cell", sort)
     upto = within.rowsBetween(W.unboundedPreceding, W.currentRow)
     return rows.select(
-        *keys, order, *sums, "_cell",
+        *keys, order, *sums[:-1], "_cell",
         F.lag(order).over(within).alias(f"prev_{order}"),
-        *[F.sum(c).over(upto).alias(f"cum_{c}") for c in sums],
-        *[F.first(f"total_{c}").over(upto).alias(f"total_{c}") for c in sums],
+        F.sum("_one").over(upto).alias("place"),
+        *[F.sum(c).over(upto).alias(f"cum_{c}") for c in sums[:-1]],
+        *[F.first(f"total_{c}").over(upto).alias(f"total_{c}") for c in sums[:-1]],
     ).where("_cell = 1").drop("_cell")
 
 
@@ -77,10 +80,10 @@ def quantiles(df: DataFrame, keys: list[str], value: str, fractions: list[float]
     Groups whose values are all null are absent.
     """
     runs = running_totals(df.withColumn("_n", F.lit(1).cast("long")), keys, value, ["_n"], ranges=ranges)
-    return _interpolated(runs, keys, value, fractions)
+    return interpolated(runs, keys, value, fractions)
 
 
-def _interpolated(runs: DataFrame, keys: list[str], value: str, fractions: list[float]) -> DataFrame:
+def interpolated(runs: DataFrame, keys: list[str], value: str, fractions: list[float]) -> DataFrame:
     """Quantiles from running counts; keeps at most two rows per group and fraction."""
     first, last = F.col("cum__n") - F.col("_n"), F.col("cum__n") - 1
 
