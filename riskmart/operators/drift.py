@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from riskmart import config as C
 from riskmart.operators.ordered import interpolated, running_totals
+from riskmart.sources.tables import stored
 
 MISSING = -1
 ARRAY_EDGES = 64
@@ -27,10 +28,10 @@ def decile_edges(long: DataFrame, keys: list[str], bins: int = 10) -> DataFrame:
 
     Distinct deciles without the outermost two. With at most two distinct deciles the edges are the
     midpoints between all neighbouring distinct values. Constant or empty variables have no inner edge.
-    The counted values and the edges are read several times, so both are checkpointed.
+    The counted values and the edges are read several times, so both are stored.
     """
     counted = long.select(*keys, "value", F.lit(1).cast("long").alias("_n"))
-    runs = running_totals(counted, keys, "value", ["_n"]).checkpoint()
+    runs = stored(running_totals(counted, keys, "value", ["_n"]), "runs")
     deciles = interpolated(runs, keys, "value", [i / bins for i in range(bins + 1)])
     distinct = deciles.select(*keys, F.array_distinct("quantiles").alias("e"))
     # one array of at most bins + 1 numbers per variable; a variable is a column, a key a model version
@@ -41,7 +42,7 @@ def decile_edges(long: DataFrame, keys: list[str], bins: int = 10) -> DataFrame:
     inner = distinct.where(F.size("e") > 2).select(
         *keys, F.posexplode(F.slice("e", F.lit(2), F.size("e") - 2)).alias("_i", "edge")
     ).select(*keys, (F.col("_i") + 1).cast("long").alias("edge_no"), "edge")
-    return inner.unionByName(middle).checkpoint()
+    return stored(inner.unionByName(middle), "edges")
 
 
 def bin_counts(long: DataFrame, edges: DataFrame, keys: list[str], edge_keys: list[str]) -> DataFrame:
@@ -49,6 +50,7 @@ def bin_counts(long: DataFrame, edges: DataFrame, keys: list[str], edge_keys: li
 
     ``edge_keys`` (part of ``keys``) say which edges apply. Variables with few edges look their bin up in
     a short array, without a shuffle of the rows; the others are merged with their edges in value order.
+    The counts are stored: they are small beside the rows and are read several times.
     """
     # per variable and version: an array of at most 64 edges, or none when there are more
     lookup = edges.groupBy(*edge_keys).agg(
@@ -63,7 +65,7 @@ def bin_counts(long: DataFrame, edges: DataFrame, keys: list[str], edge_keys: li
     )
     direct = marked.where(~many).groupBy(*keys, position.cast("long").alias("bin")).agg(F.count("*").alias("n"))
     if lookup.where(F.col("_edges") > ARRAY_EDGES).isEmpty():
-        return direct
+        return stored(direct, "bins")
 
     # many edges: the distinct values share one ordered run with the edges that apply to them
     cells = marked.where(many).groupBy(*keys, "value").agg(F.count("*").alias("n"))
@@ -74,7 +76,7 @@ def bin_counts(long: DataFrame, edges: DataFrame, keys: list[str], edge_keys: li
     values = cells.select(*edge_keys, "value", F.lit(0).cast("long").alias("_step"))
     runs = running_totals(values.unionByName(steps), edge_keys, "value", ["_step"])
     placed = cells.join(runs.select(*edge_keys, "value", F.col("cum__step").alias("bin")), edge_keys + ["value"])
-    return direct.unionByName(placed.groupBy(*keys, "bin").agg(F.sum("n").alias("n")))
+    return stored(direct.unionByName(placed.groupBy(*keys, "bin").agg(F.sum("n").alias("n"))), "bins")
 
 
 def proportions(counts: DataFrame, keys: list[str]) -> DataFrame:

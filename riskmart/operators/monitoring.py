@@ -40,13 +40,13 @@ def long_rows(df: DataFrame, group: str, monitored: Column, facts: list[Column])
 def reference_profile(reference: DataFrame, keys: list[str], variables: list[str]) -> tuple[DataFrame, DataFrame]:
     """Bin edges and bin shares of every variable over the reference rows: (edges, shares) in long form.
 
-    A profile is stored with its model version; both tables are checkpointed here.
+    Both rest on stored tables, as a profile is kept with its model version.
     """
     long = drift.melt(reference, keys, variables)
     by = keys + ["variable"]
     edges = drift.decile_edges(long, by)
     shares = drift.proportions(drift.bin_counts(long, edges, by, by), by)
-    return edges, shares.checkpoint()
+    return edges, shares
 
 
 def variable_drift(current: DataFrame, edges: DataFrame, shares: DataFrame, keys: list[str],

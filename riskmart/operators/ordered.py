@@ -84,23 +84,21 @@ def quantiles(df: DataFrame, keys: list[str], value: str, fractions: list[float]
 
 
 def interpolated(runs: DataFrame, keys: list[str], value: str, fractions: list[float]) -> DataFrame:
-    """Quantiles from running counts; keeps at most two rows per group and fraction."""
-    first, last = F.col("cum__n") - F.col("_n"), F.col("cum__n") - 1
-
-    def at(fraction):
-        return F.lit(float(fraction)) * (F.col("total__n") - 1)
-
-    def covers(rank):
-        return rank.between(first, last)
-
-    touched = [covers(F.floor(at(f))) | covers(F.ceil(at(f))) for f in fractions]
-    needed = touched[0]
-    for t in touched[1:]:
-        needed = needed | t
-    lows = [F.max(F.when(covers(F.floor(at(f))), F.col(value))) for f in fractions]
-    highs = [F.max(F.when(covers(F.ceil(at(f))), F.col(value))) for f in fractions]
-    share = [F.max(at(f) - F.floor(at(f))) for f in fractions]
-    return runs.where(needed).groupBy(*keys).agg(
-        F.max("total__n").alias("n"),
-        F.array(*[lo + (hi - lo) * s for lo, hi, s in zip(lows, highs, share)]).alias("quantiles"),
+    """Quantiles from running counts; at most two rows per group and fraction pass the first step."""
+    first, last, n = F.col("cum__n") - F.col("_n"), F.col("cum__n") - 1, F.col("total__n")
+    wanted = F.transform(
+        F.array(*[F.lit(float(f)) for f in fractions]), lambda f, i: F.struct(i.alias("i"), (f * (n - 1)).alias("at"))
+    )
+    touched = F.filter(
+        wanted, lambda t: F.floor(t["at"]).between(first, last) | F.ceil(t["at"]).between(first, last)
+    )
+    at = F.col("at")
+    ends = runs.select(*keys, value, "_n", "cum__n", "total__n", F.inline(touched)).groupBy(*keys, "i").agg(
+        F.max("total__n").alias("n"), F.max(at - F.floor(at)).alias("share"),
+        F.max(F.when(F.floor(at).between(first, last), F.col(value))).alias("low"),
+        F.max(F.when(F.ceil(at).between(first, last), F.col(value))).alias("high"),
+    )
+    point = F.struct("i", (F.col("low") + (F.col("high") - F.col("low")) * F.col("share")).alias("q"))
+    return ends.groupBy(*keys).agg(
+        F.max("n").alias("n"), F.sort_array(F.collect_list(point))["q"].alias("quantiles")
     )

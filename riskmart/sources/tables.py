@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from riskmart.session import run_folder
+
 
 def write_table(df: DataFrame, path: str, by: list[str]) -> int:
     """Replace exactly the partitions present in the frame, then read them back and compare row counts.
@@ -47,3 +49,14 @@ def read_range(df: DataFrame, first=None, last=None, column: str = "snapshot_dat
 def read_table(spark: SparkSession, path: str, first=None, last=None, columns=None) -> DataFrame:
     df = read_range(spark.read.parquet(path), first, last)
     return df.select(*columns) if columns else df
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The frame written to the shared folder and read back.
+
+    For reduced intermediate tables that are read several times: computed once, with a short lineage and
+    measured size, and still there when an executor is lost.
+    """
+    path = run_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
