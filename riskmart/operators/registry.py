@@ -85,7 +85,7 @@ def intervals(decisions: DataFrame) -> DataFrame:
 def events(decisions: DataFrame) -> DataFrame:
     """Event log of the decisions."""
     def auc(c):
-        return F.format_number(F.col(c), "0.000")
+        return F.format_string("%.3f", F.bround(c, 3))
     detail = F.when(
         F.col("champion_version").isNull(), F.concat(F.lit("first deployment; OOT AUC "), auc("challenger_auc"))
     ).otherwise(F.concat(

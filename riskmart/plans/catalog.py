@@ -16,14 +16,13 @@ def part(name: str, sql: str) -> None:
     PARTS[name] = sql
 
 
-def _needed(sql: str, done: list[str]) -> list[str]:
-    """Parts and views the text names, each after those it needs itself."""
+def _needed(sql: str, done: list[str], open_names: tuple = ()) -> list[str]:
+    """Parts and views the text names, each after those it needs itself; a part may name itself."""
     for name in [*views.TEXT, *PARTS]:
-        if name not in done and re.search(rf"\b{name}\b", sql):
+        if name not in done and name not in open_names and re.search(rf"\b{name}\b", sql):
             text = PARTS[name] if name in PARTS else views.duckdb_text(name)
-            _needed(text, done)
-            if name not in done:
-                done.append(name)
+            _needed(text, done, (*open_names, name))
+            done.append(name)
     return done
 
 
@@ -31,13 +30,10 @@ def check_sql(sql: str) -> str:
     """The text with everything it names put before it as common table expressions."""
     names = _needed(sql, [])
     tables = [f"{n} as ({PARTS[n] if n in PARTS else views.duckdb_text(n)})" for n in names]
-    own = re.match(r"\s*with\s+(recursive\s+)?", sql, re.IGNORECASE)
+    own = re.match(r"\s*with\s+", sql, re.IGNORECASE)
     if own:
-        tables, sql = [*tables, sql[own.end():]], None
-    head = "with recursive " if own and own.group(1) else "with "
-    if sql is None:
-        return head + ",\n".join(tables)
-    return head + ",\n".join(tables) + "\n" + sql if tables else sql
+        return "with recursive " + ",\n".join([*tables, sql[own.end():]])
+    return "with recursive " + ",\n".join(tables) + "\n" + sql if tables else sql
 
 
 def query(name: str, oracle: str | None = None):

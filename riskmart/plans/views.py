@@ -120,8 +120,8 @@ from {lineitem}""",
     # one row per loan: score, label and features; the full model stops seeing click data in June 2000
     "v_loans": """
 select l_orderkey as loan_id, cast(min(date_trunc('month', l_shipdate)) as date) as snapshot_date,
-       max(case when l_linestatus = 'F' then abs(l_discount) * 8 + l_quantity / 1000 end) as score_1,
-       max(case when l_linestatus = 'O' then abs(l_discount) * 6 + l_quantity / 500 end) as score_2,
+       max(case when l_linestatus = 'F' then abs(l_discount) * 8 + l_quantity / 1000 + l_extendedprice / 98765432.1 end) as score_1,
+       max(case when l_linestatus = 'O' then abs(l_discount) * 6 + l_quantity / 500 + l_extendedprice / 87654321.9 end) as score_2,
        case when max(l_discount) > max(l_tax) then 1 else 0 end as label,
        max(l_extendedprice) as amount, max(l_quantity) as quantity,
        nullif(max(abs(l_tax)), 0.08) as tax, max(case when l_returnflag = 'R' then 1 else 0 end) as returned
