@@ -48,7 +48,7 @@ def gold_stores(spark: SparkSession, root: str, policy: Policy, first=None, last
         silver(spark, root, "loan_daily", start, end), silver(spark, root, "attributes", start, end),
         silver(spark, root, "financials", start, end), silver(spark, root, "clickstream", None, end), CLICK_COLUMNS,
     )
-    write_table(features, os.path.join(root, "gold", "feature_store"), ["snapshot_date"])
+    write_table(features, os.path.join(root, "gold", "feature_store"), ["snapshot_date"], check=False)
 
 
 def stores(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
