@@ -19,12 +19,11 @@ def typed(c, dtype: str) -> Column:
 
 
 def numeric(c, dtype: str = "float") -> Column:
-    """Number behind stray underscores and blanks; text that is no number is null.
+    """Number behind stray underscores and blanks; text that is no number, or empty, is null.
 
     Goes through double so that '11.0' survives as an integer.
     """
-    bare = F.nullif(F.trim(F.translate(_col(c), "_", "")), F.lit(""))
-    return bare.try_cast("double").try_cast(dtype)
+    return F.translate(_col(c), "_", "").try_cast("double").try_cast(dtype)
 
 
 def within(c, low, high) -> Column:

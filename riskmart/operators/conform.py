@@ -44,14 +44,21 @@ def zero_filled_mob(raw: DataFrame) -> DataFrame:
     )
 
 
+def numbers(raw: DataFrame, types: dict) -> DataFrame:
+    """Listed text columns as cleaned numbers. A projection of its own, so that the rules on top of it, which name a
+    number several times, do not parse its text several times."""
+    return raw.select(*[clean.numeric(c, types[c]).alias(c) if c in types else F.col(c) for c in raw.columns])
+
+
 def attributes(raw: DataFrame) -> DataFrame:
     valid = clean.matches("SSN", C.ID_PATTERN)
-    return raw.select(
+    checked = numbers(raw, {"Age": "int"}).withColumn("ssn_valid", valid.cast("int"))
+    return checked.select(
         F.col("Customer_ID").cast("string").alias("Customer_ID"),
         clean.filled("Name").alias("Name"),
-        F.when(valid, F.trim("SSN")).alias("SSN"),
-        valid.cast("int").alias("ssn_valid"),
-        clean.within(clean.numeric("Age", "int"), *C.AGE_RANGE).alias("Age"),
+        F.when(F.col("ssn_valid") == 1, F.trim("SSN")).alias("SSN"),
+        "ssn_valid",
+        clean.within("Age", *C.AGE_RANGE).alias("Age"),
         clean.with_letter("Occupation").alias("Occupation"),
         clean.typed("snapshot_date", "date").alias("snapshot_date"),
     )
@@ -59,17 +66,13 @@ def attributes(raw: DataFrame) -> DataFrame:
 
 def financials(raw: DataFrame) -> DataFrame:
     """Fifteen cleaned numbers, history in months, whitelisted categories; unlisted columns pass through."""
-    numbers = {c: clean.numeric(c, t) for c, t in C.FINANCIAL_TYPES.items()}
-    for c, (low, high) in C.FINANCIAL_RANGES.items():
-        numbers[c] = clean.within(numbers[c], low, high)
-    salary = numbers["Monthly_Inhand_Salary"]
     # the cap is rounded to float, the type of the income it is compared with
-    cap = (F.lit(C.INCOME_CAP_IN_SALARIES) * salary).cast("float")
-    numbers["Annual_Income"] = clean.at_most(numbers["Annual_Income"], cap)
-    numbers["Total_EMI_per_month"] = clean.at_most(numbers["Total_EMI_per_month"], salary)
-    numbers["Amount_invested_monthly"] = clean.not_sentinel(numbers["Amount_invested_monthly"], C.INVESTED_SENTINEL)
+    cap = (F.lit(C.INCOME_CAP_IN_SALARIES) * F.col("Monthly_Inhand_Salary")).cast("float")
     cleaned = {
-        **numbers,
+        **{c: clean.within(c, low, high) for c, (low, high) in C.FINANCIAL_RANGES.items()},
+        "Annual_Income": clean.at_most("Annual_Income", cap),
+        "Total_EMI_per_month": clean.at_most("Total_EMI_per_month", F.col("Monthly_Inhand_Salary")),
+        "Amount_invested_monthly": clean.not_sentinel("Amount_invested_monthly", C.INVESTED_SENTINEL),
         "Customer_ID": F.col("Customer_ID").cast("string"),
         "Credit_Mix": clean.one_of("Credit_Mix", C.CREDIT_MIXES),
         "Payment_of_Min_Amount": clean.one_of("Payment_of_Min_Amount", C.MIN_AMOUNT_ANSWERS),
@@ -78,7 +81,7 @@ def financials(raw: DataFrame) -> DataFrame:
         "snapshot_date": clean.typed("snapshot_date", "date"),
     }
     kept = [c for c in raw.columns if c != "Credit_History_Age"]
-    return raw.select(
+    return numbers(raw, C.FINANCIAL_TYPES).select(
         *[cleaned.get(c, F.col(c)).alias(c) for c in kept],
         clean.span_in_months("Credit_History_Age").alias("Credit_History_Age_months"),
     )

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import functools
 import re
 
 from riskmart.plans import views
+from riskmart.session import tune
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -39,7 +41,11 @@ def check_sql(sql: str) -> str:
 def query(name: str, oracle: str | None = None):
     """Register a query; ``oracle`` is the DuckDB text giving the same rows."""
     def register(fn):
-        QUERIES[name] = fn
+        @functools.wraps(fn)
+        def tuned(spark, sf_dir):
+            return fn(tune(spark), sf_dir)
+
+        QUERIES[name] = tuned
         if oracle is not None:
             ORACLES[name] = oracle
         return fn

@@ -14,6 +14,7 @@ from riskmart.plans import metric_queries as mq
 from riskmart.plans.catalog import part, query
 from riskmart.plans.data_queries import tidy
 from riskmart.plans.views import view
+from riskmart.sources.tables import stored
 
 GO_LIVE = date(1998, 7, 1)
 POLICY = replace(Policy(), go_live=GO_LIVE)
@@ -25,57 +26,55 @@ def predictions(spark, sf):
     return view(spark, sf, "v_predictions")
 
 
-def live(spark, sf):
-    return predictions(spark, sf).where(F.col("snapshot_date") >= F.lit(GO_LIVE))
+class World:
+    """Predictions and labels as the stored tables they are in a running deployment."""
 
+    def __init__(self, spark, sf):
+        all_predictions = stored(predictions(spark, sf), "predictions")
+        day = F.col("snapshot_date")
+        self.live = all_predictions.where(day >= F.lit(GO_LIVE))
+        self.before = all_predictions.where(day < F.lit(GO_LIVE))
+        self.labels = stored(view(spark, sf, "v_labels"), "labels")
 
-def before_live(spark, sf):
-    return predictions(spark, sf).where(F.col("snapshot_date") < F.lit(GO_LIVE))
+    def routed(self):
+        return routing.route(self.live)
 
+    def matured(self):
+        return populations.matured_cohort(self.live, self.labels, 6, GO_LIVE)
 
-def labels(spark, sf):
-    return view(spark, sf, "v_labels")
+    def matured_routed(self):
+        return stored(populations.matured_cohort(stored(self.routed(), "production"), self.labels, 6, GO_LIVE), "matured")
 
+    def matured_before(self):
+        return populations.matured_cohort(self.before, self.labels)
 
-def matured(spark, sf):
-    return populations.matured_cohort(live(spark, sf), labels(spark, sf), 6, GO_LIVE)
+    def oot(self):
+        """Out-of-time AUC of each version: on the months before go-live."""
+        ranks = rank_metrics(self.matured_before(), VERSION)
+        return stored(ranks.select(*VERSION, F.col("auc").alias("oot_auc")), "oot")
 
+    def slot_stability(self):
+        edges, shares = monitoring.reference_profile(self.before, VERSION, ["score", *FEATURES])
+        base = monitoring.score_volume(self.before, VERSION)
+        return monitoring.stability_by_slot(self.live, base, edges, shares, FEATURES, POLICY)
 
-def matured_routed(spark, sf):
-    return populations.matured_cohort(routing.route(live(spark, sf)), labels(spark, sf), 6, GO_LIVE)
+    def production_stability(self):
+        return monitoring.stability_production(self.routed(), POLICY)
 
+    def slot_performance(self, oot=None):
+        return monitoring.performance_by_slot(stored(self.matured(), "matured"), oot or self.oot(), POLICY)
 
-def oot(spark, sf):
-    """Out-of-time AUC of each version: on the months before go-live."""
-    known = populations.matured_cohort(before_live(spark, sf), labels(spark, sf))
-    return rank_metrics(known, VERSION).select(*VERSION, F.col("auc").alias("oot_auc"))
+    def production_performance(self, oot=None):
+        return monitoring.performance_of_production(self.matured_routed(), oot or self.oot(), POLICY)
 
+    def performance(self):
+        oot = self.oot()
+        return self.slot_performance(oot).unionByName(self.production_performance(oot))
 
-def slot_stability(spark, sf):
-    reference = before_live(spark, sf)
-    edges, shares = monitoring.reference_profile(reference, VERSION, ["score", *FEATURES])
-    base = monitoring.score_volume(reference, VERSION)
-    return monitoring.stability_by_slot(live(spark, sf), base, edges, shares, FEATURES, POLICY)
-
-
-def production_stability(spark, sf):
-    return monitoring.stability_production(routing.route(live(spark, sf)), POLICY)
-
-
-def slot_performance(spark, sf):
-    return monitoring.performance_by_slot(matured(spark, sf), oot(spark, sf), POLICY)
-
-
-def production_performance(spark, sf):
-    return monitoring.performance_of_production(matured_routed(spark, sf), oot(spark, sf), POLICY)
-
-
-def all_facts(spark, sf):
-    parts = [f(spark, sf) for f in (slot_stability, production_stability, slot_performance, production_performance)]
-    facts = parts[0]
-    for p in parts[1:]:
-        facts = facts.unionByName(p)
-    return facts
+    def facts(self):
+        """All monitoring facts, stored as the monitoring table is."""
+        stability = self.slot_stability().unionByName(self.production_stability())
+        return stored(stability.unionByName(self.performance()), "facts")
 
 
 # --- the same in SQL ----------------------------------------------------------------------------------------
@@ -178,14 +177,14 @@ round(reference_value, 6) as reference_value, status"""
 
 @query("matured_cohort", "select loan_id, model_slot, snapshot_date, label_date, label, round(score, 6) as score from w_matured")
 def matured_cohort(spark, sf):
-    found = matured(spark, sf)
+    found = World(spark, sf).matured()
     return tidy(found.select("loan_id", "model_slot", "snapshot_date", "label_date", "label", "score"), 6)
 
 
 @query("production_routing", """
 select loan_id, snapshot_date, model_slot, routed_to, model_version, has_clickstream, round(score, 6) as score, decision from w_routed""")
 def production_routing(spark, sf):
-    routed = routing.route(live(spark, sf))
+    routed = World(spark, sf).routed()
     return tidy(routed.select(
         "loan_id", "snapshot_date", "model_slot", "routed_to", "model_version", "has_clickstream", "score", "decision"
     ), 6)
@@ -193,7 +192,7 @@ def production_routing(spark, sf):
 
 @query("dq_routed_once", "select count(*) as n_loans, cast(0 as bigint) as n_repeated from (select distinct loan_id, snapshot_date from w_routed)")
 def dq_routed_once(spark, sf):
-    return routing.routed_twice(routing.route(live(spark, sf)))
+    return routing.routed_twice(World(spark, sf).routed())
 
 
 @query("feature_lookup", """
@@ -202,7 +201,7 @@ join (select loan_id, price from (select loan_id, amount as price from v_loans))
 def feature_lookup(spark, sf):
     """Feature values of the routed decisions."""
     store = view(spark, sf, "v_loans").withColumnRenamed("amount", "price")
-    routed = routing.route(live(spark, sf))
+    routed = World(spark, sf).routed()
     found = populations.with_features(routed, store, ["price"])
     return tidy(found.groupBy("routed_to", "snapshot_date").agg(
         F.count("*").alias("n_rows"), F.sum(F.round("price", 2)).alias("amount")
@@ -211,22 +210,23 @@ def feature_lookup(spark, sf):
 
 @query("stability_slot", f"select {_FACT} from w_slot_stability")
 def stability_slot(spark, sf):
-    return tidy(slot_stability(spark, sf), 6)
+    return tidy(World(spark, sf).slot_stability(), 6)
 
 
 @query("stability_production", f"select {_FACT} from w_prod_stability")
 def stability_production(spark, sf):
-    return tidy(production_stability(spark, sf), 6)
+    return tidy(World(spark, sf).production_stability(), 6)
 
 
 @query("performance_metrics", f"select {_FACT} from w_slot_perf union all select {_FACT} from w_prod_perf")
 def performance_metrics(spark, sf):
-    return tidy(slot_performance(spark, sf).unionByName(production_performance(spark, sf)), 6)
+    return tidy(World(spark, sf).performance(), 6)
 
 
 @query("expected_auc", "select snapshot_date, round(ref_auc, 6) as ref_auc from w_prod_expected")
 def expected_auc(spark, sf):
-    return tidy(monitoring.expected_auc(matured_routed(spark, sf), oot(spark, sf), ["snapshot_date"]), 6)
+    world = World(spark, sf)
+    return tidy(monitoring.expected_auc(world.matured_routed(), world.oot(), ["snapshot_date"]), 6)
 
 
 @query("monitoring_pivot", """
@@ -235,13 +235,14 @@ select cohort_date, round(avg(value) filter (where model_slot = 'model_1'), 6) a
        round(avg(value) filter (where model_slot = 'production'), 6) as production
 from (select * from w_volume_facts union all select * from w_prod_stability) where metric = 'mean_score' group by 1""")
 def monitoring_pivot(spark, sf):
-    facts = slot_stability(spark, sf).unionByName(production_stability(spark, sf))
+    world = World(spark, sf)
+    facts = world.slot_stability().unionByName(world.production_stability())
     return tidy(report.by_slot(facts, "stability", "mean_score"), 6)
 
 
 @query("red_alerts", f"select {_FACT} from w_facts where status = 'red' and metric in ('auc', 'calibration_gap', 'psi_score')")
 def red_alerts(spark, sf):
-    return tidy(registry.red_alerts(all_facts(spark, sf)).select(*monitoring.FACT), 6)
+    return tidy(registry.red_alerts(World(spark, sf).facts()).select(*monitoring.FACT), 6)
 
 
 @query("alert_list", """
@@ -249,12 +250,12 @@ select monitoring_date, model_slot, model_version, cohort_date, metric, round(va
        round(reference_value, 6) as reference_value, status
 from w_facts where status in ('red', 'amber') and monitoring_date <= date '2001-03-01'""")
 def alert_list(spark, sf):
-    return tidy(report.alerts(report.as_of(all_facts(spark, sf), "2001-03-01")), 6)
+    return tidy(report.alerts(report.as_of(World(spark, sf).facts(), "2001-03-01")), 6)
 
 
 @query("outage_start", "select min(cohort_date) as outage_start from w_prod_stability where metric = 'clickstream_coverage' and status = 'red'")
 def outage_start(spark, sf):
-    return report.outage_start(production_stability(spark, sf))
+    return report.outage_start(World(spark, sf).production_stability())
 
 
 @query("report_auc", """
@@ -263,7 +264,7 @@ select cohort_date, round(avg(value) filter (where model_slot = 'model_1'), 6) a
        round(max(reference_value) filter (where model_slot = 'production') - 0.05, 6) as alert_line
 from (select * from w_slot_perf union all select * from w_prod_perf) where metric = 'auc' group by 1""")
 def report_auc(spark, sf):
-    facts = slot_performance(spark, sf).unionByName(production_performance(spark, sf))
+    facts = stored(World(spark, sf).performance(), "facts")
     return tidy(report.auc_by_month(facts, POLICY), 6)
 
 
@@ -272,7 +273,7 @@ select cohort_date, round(avg(value) filter (where model_slot = 'model_1'), 6) a
        round(avg(value) filter (where model_slot = 'model_2'), 6) as model_2
 from w_shift_facts where metric = 'psi_score' group by 1""")
 def report_psi(spark, sf):
-    return tidy(report.psi_by_month(slot_stability(spark, sf)), 6)
+    return tidy(report.psi_by_month(World(spark, sf).slot_stability()), 6)
 
 
 def _wide(source: str, metrics: list[str]) -> str:
@@ -286,7 +287,7 @@ select cohort_date, round(actual_default_rate, 6) as actual_default_rate, round(
        round(max(abs(mean_predicted_pd - actual_default_rate)) over (), 6) as largest_gap
 from ({_wide('w_prod_perf', ['actual_default_rate', 'mean_predicted_pd'])})""")
 def report_calibration(spark, sf):
-    return tidy(report.calibration(production_performance(spark, sf)), 6)
+    return tidy(report.calibration(stored(World(spark, sf).production_performance(), "facts")), 6)
 
 
 @query("report_routing", f"""
@@ -294,7 +295,7 @@ select cohort_date, cast(round_even(n_scored * share_routed_model_1, 0) as bigin
        cast(n_scored - round_even(n_scored * share_routed_model_1, 0) as bigint) as n_model_2
 from ({_wide('w_prod_stability', ['n_scored', 'share_routed_model_1'])})""")
 def report_routing(spark, sf):
-    return report.routing(production_stability(spark, sf))
+    return report.routing(World(spark, sf).production_stability())
 
 
 @query("report_business", f"""
@@ -303,7 +304,7 @@ select cohort_date, round(approval_rate, 6) as approval_rate, round(actual_defau
        round(avg(actual_default_rate) over (), 6) as mean_default_rate
 from ({_wide('w_prod_perf', ['approval_rate', 'actual_default_rate', 'bad_rate_approved'])})""")
 def report_business(spark, sf):
-    return tidy(report.business(production_performance(spark, sf)), 6)
+    return tidy(report.business(stored(World(spark, sf).production_performance(), "facts")), 6)
 
 
 _TABLE = ["n_labelled", "auc", "gini", "ks", "actual_default_rate", "mean_predicted_pd", "approval_rate", "bad_rate_approved", "bad_rate_declined"]
@@ -311,7 +312,7 @@ _TABLE = ["n_labelled", "auc", "gini", "ks", "actual_default_rate", "mean_predic
 
 @query("report_production", f"select cohort_date, {', '.join(f'round({m}, 6) as {m}' for m in _TABLE)} from ({_wide('w_prod_perf', _TABLE)})")
 def report_production(spark, sf):
-    return tidy(report.production_table(production_performance(spark, sf)), 6)
+    return tidy(report.production_table(World(spark, sf).production_performance()), 6)
 
 
 part("w_csi", """
@@ -326,7 +327,7 @@ from (select c.model_slot, feature, max(value) filter (where cohort_date = newes
 select c.model_slot, c.feature, cast(r.position as int) as position, cohort_date, round(avg(c.value), 6) as csi
 from w_csi c join w_csi_rank r using (model_slot, feature) where r.position <= 3 group by 1, 2, 3, 4""")
 def csi_matrix(spark, sf):
-    return tidy(report.csi_matrix(slot_stability(spark, sf), 3), 6)
+    return tidy(report.csi_matrix(stored(World(spark, sf).slot_stability(), "facts"), 3), 6)
 
 
 part("w_corr", "select model_slot, model_version, " + ", ".join(f"round(abs(corr({f}, label)), 6) as {f}" for f in FEATURES)
@@ -339,7 +340,7 @@ select model_slot, model_version, feature, importance, cast(rank as int) as rank
   from (unpivot w_corr on amount, quantity, tax into name feature value importance) where feature <> 'returned') where rank <= 2""")
 def top_features(spark, sf):
     """Most important features per version; importance here is the correlation with the label."""
-    known = populations.matured_cohort(before_live(spark, sf), labels(spark, sf))
+    known = World(spark, sf).matured_before()
     strength = known.groupBy(*VERSION).agg(*[F.round(F.abs(F.corr(f, "label")), 6).alias(f) for f in FEATURES])
     return splits.top_features(strength.unpivot(VERSION, FEATURES, "feature", "importance"), VERSION, 2, ["returned"])
 

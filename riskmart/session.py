@@ -27,7 +27,17 @@ def build_session(app: str = "riskmart", master: str | None = None, **conf) -> S
         builder = builder.master(master)
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
-    return builder.getOrCreate()
+    return tune(builder.getOrCreate())
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Run-time settings for wide projections.
+
+    The JVM never compiles a method above 8000 bytes. A whole stage whose generated method is larger would be
+    interpreted for every row, so such stages are generated operator by operator, in methods small enough.
+    """
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+    return spark
 
 
 def shared_folder(spark: SparkSession) -> str:
