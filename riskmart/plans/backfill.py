@@ -5,9 +5,8 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from riskmart.config import CLICK_COLUMNS, Policy
+from riskmart.config import CLICK_COLUMNS, REQUIRED_COLUMNS, Policy
 from riskmart.operators import conform, gold, populations
 from riskmart.sources import raw
 from riskmart.sources.tables import read_range, read_table, write_table
@@ -27,7 +26,7 @@ def window(policy: Policy, table: str, first=None, last=None) -> tuple[str, str]
 def bronze_and_silver(spark: SparkSession, sources: dict, root: str, policy: Policy, first=None, last=None) -> None:
     for table, path in sources.items():
         start, end = window(policy, table, first, last)
-        source = raw.require_columns(raw.read_raw(spark, path), raw.C.REQUIRED_COLUMNS[table], path)
+        source = raw.require_columns(raw.read_raw(spark, path), REQUIRED_COLUMNS[table], path)
         bronze = os.path.join(root, "bronze", table)
         raw.ingest(source, bronze, start, end)
         rows = raw.read_bronze(spark, bronze, source.schema, start, end)
