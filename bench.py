@@ -7,7 +7,7 @@ import os
 import re
 import time
 
-from riskmart.session import build_session
+from riskmart.session import build_session, with_shared_folder
 
 HEADLINE = [
     "default_rate", "label_store", "silver_loan_daily", "silver_financials", "silver_clickstream", "days_past_due", "dq_shared_ids",
@@ -22,9 +22,9 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     runs = int(os.environ.get("BENCH_RUNS", "2"))
     names = os.environ.get("BENCH_QUERIES", "").split() or HEADLINE
-    spark = build_session(
+    spark = with_shared_folder(build_session(
         "bench", f"local[{cpus}]", spark__sql__shuffle__partitions=cpus, spark__driver__memory="16g", spark__log__level="ERROR",
-    )
+    ))
     from riskmart.plans import catalog
 
     queries = catalog.all_queries()

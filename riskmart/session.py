@@ -41,22 +41,28 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a temporary one only in local mode when none is set."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    folder = spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
+    """The folder that driver and executors share, as the cluster names it."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
         raise RuntimeError("spark.checkpoint.dir must name a folder every executor can reach")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="riskmart-"))
-    return spark.sparkContext.getCheckpointDir()
+    return folder
+
+
+def with_shared_folder(spark: SparkSession) -> SparkSession:
+    """For local sessions that name no shared folder (tests, benchmarks): a temporary one, removed with the JVM."""
+    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder every executor can reach")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="riskmart-"))
+    return spark
 
 
 def run_folder(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder for one run."""
-    return os.path.join(shared_folder(spark), f"riskmart-{name}-{uuid.uuid4().hex}")
+    """A fresh path below the shared folder for one run; it is deleted when the application ends."""
+    path = os.path.join(shared_folder(spark), f"riskmart-{name}-{uuid.uuid4().hex}")
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return path
 
 
 def shuffle_width(spark: SparkSession) -> int:

@@ -14,7 +14,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 import duckdb  # noqa: E402
 import pandas as pd  # noqa: E402
 
-from riskmart.session import build_session  # noqa: E402
+from riskmart.session import build_session, with_shared_folder  # noqa: E402
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
@@ -27,10 +27,10 @@ def connect(sf_dir: str):
 
 
 def session(**conf):
-    return build_session(
+    return with_shared_folder(build_session(
         "check", "local[8]", spark__sql__shuffle__partitions="8", spark__driver__memory="12g",
         spark__log__level="ERROR", **conf,
-    )
+    ))
 
 
 def _cell(v):
