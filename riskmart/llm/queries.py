@@ -120,7 +120,7 @@ with p as (
   select * from (values ('net', '/', 'block', 1), ('example.net', '/en/', 'allow', 2), ('example.com', '/de/', 'block', 2), ('org', '/fr/', 'allow', 1)) t(place, starts, verdict, labels)
 ), won as (
   select page_id, max_by(place || starts, labels * 1000 + len(starts)) as rule, max_by(verdict, labels * 1000 + len(starts)) as verdict
-  from h join rules on ('.' || host) like x and starts_with(path, starts) group by page_id
+  from h join rules on ('.' || host) like ('%.' || place) and starts_with(path, starts) group by page_id
 )
 select page_id, host, path, rule, coalesce(verdict, 'allow') as verdict from h left join won using (page_id)
 """)
