@@ -37,6 +37,7 @@ CELL_SHINGLES = 2_000_000
 MEMO_WORDS = 500_000
 CHUNK = 4096
 DIRECT_ROWS = 64
+SHORT_LIST = 12
 
 _draw = np.random.default_rng(20_011)
 FACTORS = _draw.integers(1, 1 << 63, COORDINATES, dtype=np.uint64) | np.uint64(1)
@@ -150,8 +151,11 @@ def _post(common, prefix: int):
     return run
 
 
-def _runs(batches: Iterator[pa.RecordBatch], keys: list[str], columns):
-    """Rows of each key that has two rows or more, as slices of what ``columns`` makes of a batch; rows of a key come together."""
+def _runs(batches: Iterator[pa.RecordBatch], keys: list[str], columns, short: int = 1):
+    """Row ranges of each key that has two rows or more, as slices of what ``columns`` makes of a batch; rows of a key come together.
+
+    Yields (length, arrays): runs of up to ``short`` rows that lie within a batch come stacked by their length, others one by one.
+    """
     held: list = []
     key = None
     for batch in batches:
@@ -159,18 +163,37 @@ def _runs(batches: Iterator[pa.RecordBatch], keys: list[str], columns):
             continue
         ids = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in keys])
         cuts = np.concatenate([[0], np.flatnonzero((ids[:, 1:] != ids[:, :-1]).any(axis=0)) + 1, [ids.shape[1]]])
-        values = columns(batch)
+        values, sizes = columns(batch), np.diff(cuts)
+        inner = np.arange(1, len(sizes) - 1)
+        for size in range(2, short + 1):
+            starts = cuts[inner[sizes[1:-1] == size]]
+            if len(starts):
+                at = starts[:, None] + np.arange(size)
+                yield size, [v[at] for v in values]
         # single rows inside a batch are passed over; the first run may go on from the last batch, the last one into the next
-        last = len(cuts) - 2
-        for r in sorted({0, last, *np.flatnonzero(np.diff(cuts) > 1).tolist()}):
+        for r in sorted({0, len(sizes) - 1, *inner[sizes[1:-1] > max(1, short)].tolist()}):
             now = tuple(ids[:, cuts[r]])
             if now != key:
                 if sum(len(h[0]) for h in held) > 1:
-                    yield [np.concatenate(x) for x in zip(*held)]
+                    yield 0, [np.concatenate(x) for x in zip(*held)]
                 held, key = [], now
             held.append([v[cuts[r]:cuts[r + 1]] for v in values])
     if sum(len(h[0]) for h in held) > 1:
-        yield [np.concatenate(x) for x in zip(*held)]
+        yield 0, [np.concatenate(x) for x in zip(*held)]
+
+
+def stacked_edges(reps: np.ndarray, sizes: np.ndarray, sigs: np.ndarray, rule: Rule) -> list[tuple[int, int]]:
+    """As ``list_edges`` for many lists of one length: the first axis is the list."""
+    labels, found = np.broadcast_to(np.arange(reps.shape[1]), reps.shape).copy(), []
+    for i in range(1, reps.shape[1]):
+        for j in range(i):
+            small, large = np.minimum(sizes[:, i], sizes[:, j]), np.maximum(sizes[:, i], sizes[:, j])
+            at = np.flatnonzero((labels[:, i] != labels[:, j]) & (100 * small >= rule.percent * large))
+            at = at[(sigs[at, i] == sigs[at, j]).sum(axis=1) >= rule.least]
+            if len(at):
+                found += zip(reps[at, i].tolist(), reps[at, j].tolist())
+                labels[at] = np.where(labels[at] == labels[at, j][:, None], labels[at, i][:, None], labels[at])
+    return found
 
 
 def _merged(labels: np.ndarray, i: int, j: int) -> bool:
@@ -204,8 +227,8 @@ def _meet(rule: Rule):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         edges: set = set()
-        for reps, sizes, sigs in _runs(batches, ["value", "x", "y"], columns):
-            edges.update(list_edges(reps, sizes, sigs, rule))
+        for size, (reps, sizes, sigs) in _runs(batches, ["value", "x", "y"], columns, SHORT_LIST):
+            edges.update((stacked_edges if size else list_edges)(reps, sizes, sigs, rule))
             if len(edges) > 50_000:
                 yield _edge_batch(list(edges))
                 edges = set()
@@ -221,7 +244,7 @@ def _confirm(rule: Rule):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words()
-        for reps, sides, texts in _runs(batches, ["root", "x", "y"], columns):
+        for _, (reps, sides, texts) in _runs(batches, ["root", "x", "y"], columns):
             yield _edge_batch(links_of(reps, sides, [shingles(t, rule.words, words) for t in texts], rule))
     return run
 

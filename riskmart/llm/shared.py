@@ -17,7 +17,7 @@ __all__ = ["TEST_FOLD", "components", "fold", "free_name", "small_batches", "sto
 
 FOLDS = 3
 TEST_FOLD = 1
-BATCH_ROWS = 2000
+BATCH_ROWS = 10_000
 BATCH_BYTES = 8 << 20
 
 
