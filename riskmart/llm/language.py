@@ -24,9 +24,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from riskmart.llm.shared import TEST_FOLD, fold, small_batches
+from riskmart.llm.shared import TEST_FOLD, fold, small_batches, stored
 
-SAMPLE_ROWS = 4000
+SAMPLE_ROWS = 2000
 MAX_WORDS = 60_000
 MAX_GRAMS = 20_000
 LENGTHS = (4, 3, 2, 1)
@@ -102,35 +102,38 @@ def learnable(docs: DataFrame) -> DataFrame:
 
 
 def sample(docs: DataFrame, rows: int) -> DataFrame:
-    """At most ``rows`` rows of each language; each task passes on no more than that."""
-    ids = learnable(docs)
-    order = W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
-    return ids.withColumn("n", F.row_number().over(order)).where(F.col("n") <= rows).select("lang", "text")
+    """(lang, text) of at most ``rows`` ids of each language, those with the smallest hash.
+
+    Ids are picked on their own, so texts are moved for the sample only; a repeated id counts once, with its smallest text.
+    """
+    known = learnable(docs)
+    order = W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    ids = known.select("lang", "doc_id").distinct().withColumn("n", F.row_number().over(order)).where(F.col("n") <= rows).drop("n")
+    return known.join(F.broadcast(ids), ["lang", "doc_id"]).groupBy("lang", "doc_id").agg(F.min("text").alias("text")).drop("doc_id")
 
 
 def _units(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Counts per batch of each (language, kind, unit); kind 0 is the word, else the n-gram's length."""
     for batch in batches:
-        counts: Counter = Counter()
+        words: dict[str, Counter] = {}
         for lang, text in zip(batch["lang"], batch["text"]):
-            for word, n in Counter(words_of(text)).items():
-                counts[lang, 0, word] += n
-                for length in LENGTHS:
-                    for gram in grams_of(word, length):
-                        counts[lang, length, gram] += n
-        keys = list(counts)
-        yield pd.DataFrame({
-            "lang": [k[0] for k in keys], "kind": [k[1] for k in keys], "unit": [k[2] for k in keys], "n": list(counts.values()),
-        })
+            words.setdefault(lang, Counter()).update(words_of(text))
+        for lang, seen in words.items():
+            for length in (0, *LENGTHS):
+                counts = seen
+                if length:
+                    counts = Counter()
+                    for word, n in seen.items():
+                        for gram in grams_of(word, length):
+                            counts[gram] += n
+                yield pd.DataFrame({"lang": lang, "kind": length, "unit": list(counts), "n": list(counts.values())})
 
 
 def learn(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     """Fit on a bounded sample; what reaches the driver is bounded by the kept words and n-grams."""
     small_batches(docs.sparkSession)
-    counted = (
-        sample(docs, sample_rows).mapInPandas(_units, "lang string, kind int, unit string, n long")
-        .groupBy("kind", "unit", "lang").agg(F.sum("n").alias("n"))
-    )
+    units = sample(docs, sample_rows).mapInPandas(_units, "lang string, kind int, unit string, n long")
+    counted = stored(units.groupBy("kind", "unit", "lang").agg(F.sum("n").alias("n")), "units")
     by_unit = counted.groupBy("kind", "unit").agg(F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"), F.sum("n").alias("all"))
     totals: dict[tuple[int, str], int] = {(r["kind"], r["lang"]): r["n"] for r in counted.groupBy("kind", "lang").agg(F.sum("n").alias("n")).collect()}
     languages = sorted({lang for _, lang in totals})
