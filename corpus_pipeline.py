@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from riskmart.llm import language, neardup, packing, toxicity
 from riskmart.llm.shared import free_name, stored, table
 
-LEAST_LANGUAGE_SCORE = 0.5
+LEAST_LANGUAGE_SCORE = 0.3
 
 
 def _columns(docs: DataFrame) -> list:
