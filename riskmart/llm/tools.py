@@ -8,7 +8,8 @@ of the same conversation whose results the call uses. ``results`` has (conv_id,
 - A call without a result is ``pending``; a result without a call appears as a row of its own with no name (``orphan``). Rows without conv_id or call_id
   link with nothing and are left out, as nothing could refer to them.
 - Order: (``stage``, ``position``, ``call_id``) puts every call after those it needs. Conversations in which needs only point backwards keep stage 0 and
-  so their own order. In the others a stage is the length of the longest chain of needs below a call, found by peeling off calls whose needs are all placed, one stage per round.
+  so their own order. In the others a stage is the length of the longest chain of needs below a call: found by doubling where every call of the conversation has one need
+  at most, else by peeling off calls whose needs are all placed, one stage per round.
   Calls on a cycle, or that need one, have a null stage, sort last, and are reported. Needs that name no call are ignored.
 - ``problem`` is the first of: ``malformed`` (not a JSON object), ``unknown tool``, ``missing FIELD``, ``type FIELD``, ``extra FIELD`` (fields in name order), ``cycle``; else null.
 - ``line`` is one JSON object with sorted keys and no white space. Arguments that do not parse are kept as a string.
@@ -78,8 +79,26 @@ def stages(calls: DataFrame) -> DataFrame:
     # positions may be equal or unknown; only a need that surely comes before is in order already
     ahead = edges.where(~F.coalesce(F.col("at") < F.col("position"), F.lit(False))).select("conv_id").distinct()
     edges = stored(edges.join(ahead, "conv_id", "left_semi").select(*KEY, "needed"), "needs")
-    open_calls = stored(calls.join(ahead, "conv_id", "left_semi").select(*KEY), "open")
-    done, stage = None, 0
+    moved = stored(calls.join(ahead, "conv_id", "left_semi").select(*KEY), "moved")
+    several = stored(edges.groupBy(*KEY).count().where("count > 1").select("conv_id").distinct(), "several")
+    chains = _chain_stages(moved.join(several, "conv_id", "left_anti"), edges.join(several, "conv_id", "left_anti"))
+    return chains.unionByName(_graph_stages(moved.join(several, "conv_id", "left_semi"), edges.join(several, "conv_id", "left_semi")))
+
+
+def _chain_stages(calls: DataFrame, edges: DataFrame) -> DataFrame:
+    """Calls with one need at most: every round doubles the distance looked down the chain, so rounds are few however long it is."""
+    state = stored(calls.join(edges, KEY, "left").select(*KEY, F.col("needed").alias("target"), F.when(F.col("needed").isNull(), 0).otherwise(1).alias("stage")), "chain")
+    longest = state.groupBy("conv_id").count().agg(F.max("count")).first()[0] or 0
+    for _ in range(longest.bit_length()):
+        there = state.select("conv_id", F.col("call_id").alias("target"), F.col("target").alias("next"), F.col("stage").alias("more"))
+        further = state.where("target is not null").join(there, ["conv_id", "target"]).select(*KEY, F.col("next").alias("target"), (F.col("stage") + F.col("more")).alias("stage"))
+        state = stored(state.where("target is null").unionByName(further), "chain")
+    return state.select(*KEY, F.when(F.col("target").isNull(), F.col("stage")).alias("stage"))
+
+
+def _graph_stages(calls: DataFrame, edges: DataFrame) -> DataFrame:
+    """Calls with several needs: one round per stage places the calls whose needs are all placed."""
+    open_calls, done, stage = stored(calls, "open"), None, 0
     while True:
         free = stored(open_calls.join(edges.select(*KEY).distinct(), KEY, "left_anti").withColumn("stage", F.lit(stage)), "stage")
         if free.isEmpty():
