@@ -27,9 +27,15 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that was learned and is clearly ahead of the others; those without a letter go."""
+    """Documents in a language that was learned and is clearly ahead of the others; those without a letter go.
+
+    Where no document says what language it is in, all with a letter stay.
+    """
+    model = language.learn(docs)
+    if not model.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     found = free_name(docs, "_found")
-    judged = docs.withColumn(found, language.predicted(language.learn(docs), docs))
+    judged = docs.withColumn(found, language.predicted(model, docs))
     sure = (F.col(f"{found}.lang_pred") != language.UNKNOWN) & (F.col(f"{found}.score") >= LEAST_LANGUAGE_SCORE)
     return judged.where(sure).select(*_columns(docs))
 

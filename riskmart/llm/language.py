@@ -21,10 +21,9 @@ import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from riskmart.llm.shared import TEST_FOLD, fold, small_batches, stored
+from riskmart.llm.shared import TEST_FOLD, fold, picked, small_batches, stored
 
 SAMPLE_ROWS = 2000
 MAX_WORDS = 60_000
@@ -107,8 +106,7 @@ def sample(docs: DataFrame, rows: int) -> DataFrame:
     Ids are picked on their own, so texts are moved for the sample only; a repeated id counts once, with its smallest text.
     """
     known = learnable(docs)
-    order = W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = known.select("lang", "doc_id").distinct().withColumn("n", F.row_number().over(order)).where(F.col("n") <= rows).drop("n")
+    ids = picked(known.select("lang", "doc_id").distinct(), "lang", rows).drop("total")
     return known.join(F.broadcast(ids), ["lang", "doc_id"]).groupBy("lang", "doc_id").agg(F.min("text").alias("text")).drop("doc_id")
 
 

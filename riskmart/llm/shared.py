@@ -9,11 +9,12 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from riskmart.sources.tables import stored
 
-__all__ = ["TEST_FOLD", "components", "fold", "free_name", "small_batches", "stored", "table", "width"]
+__all__ = ["TEST_FOLD", "components", "fold", "free_name", "picked", "small_batches", "stored", "table", "width"]
 
 FOLDS = 3
 TEST_FOLD = 1
@@ -56,6 +57,18 @@ def width(spark: SparkSession) -> int:
     return max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def picked(ids: DataFrame, by: str, rows: int) -> DataFrame:
+    """(by, doc_id, total) of at most ``rows`` ids of each group, those with the smallest hash; ``total`` is the size of the group.
+
+    Ids whose hash lies beyond about twice the wanted share are left out before the window, so no group meets whole in one task.
+    ``ids`` holds distinct (by, doc_id); the table of group sizes is as small as the number of groups.
+    """
+    share = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) / F.lit(1 << 40)
+    near = ids.withColumn("share", share).join(F.broadcast(ids.groupBy(by).agg(F.count("*").alias("total"))), by).where(F.col("share") * F.col("total") <= 2 * rows + 100)
+    order = W.partitionBy(by).orderBy("share", "doc_id")
+    return near.withColumn("n", F.row_number().over(order)).where(F.col("n") <= rows).select(by, "doc_id", "total")
+
+
 def free_name(df: DataFrame, base: str) -> str:
     """A column name that the frame does not have yet (names are compared without case)."""
     taken, name = {c.lower() for c in df.columns}, base

@@ -22,10 +22,9 @@ from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from riskmart.llm.shared import TEST_FOLD, fold, free_name, small_batches, stored
+from riskmart.llm.shared import TEST_FOLD, fold, free_name, picked, small_batches, stored
 
 SAMPLE_ROWS = 4000
 MIN_G = 30.0
@@ -35,6 +34,7 @@ STARTS = (4, 5)
 NEAR = 5
 THRESHOLD = 0.7
 MEMO_WORDS = 200_000
+USES_HELD = 100_000
 TREES, DEPTH = 20, 4
 CALIBRATION_SHARE = 4
 
@@ -122,23 +122,22 @@ class Features:
 def sample(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
     """At most ``rows`` labelled rows of each label as (doc_id, text, toxic, weight), outside the held-out fold.
 
-    A doc_id with several labels counts as toxic if one of them says so.
+    A doc_id with several labels counts as toxic if one of them says so; a repeated document counts once, with its smallest text.
     """
     marked = labels.where(F.col("toxic").isin(0, 1) & (F.coalesce(fold(), F.lit(TEST_FOLD)) != TEST_FOLD)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    order = W.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
-    # the number of labels of a kind is needed for the weights, the rows for no more than the sample
-    totals = marked.groupBy("toxic").agg(F.count("*").alias("total"))
-    picked = marked.withColumn("n", F.row_number().over(order)).where(F.col("n") <= rows).drop("n").join(F.broadcast(totals), "toxic")
+    ids = picked(marked, "toxic", rows)
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    return picked.join(texts, "doc_id").select(
+    once = texts.join(F.broadcast(ids), "doc_id").groupBy("doc_id", "toxic", "total").agg(F.min("text").alias("text"))
+    return once.select(
         "doc_id", "text", F.col("toxic").cast("double").alias("toxic"), (F.col("total") / F.least("total", F.lit(rows))).alias("weight"),
     )
 
 
 def _uses(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """(kind, unit, neighbours, toxic) of every word; kind 0 is the word, else the length of its start."""
+    columns = ["kind", "unit", "near", "toxic"]
     for batch in batches:
-        seen = set()
+        seen: set = set()
         for text, toxic in zip(batch["text"], batch["toxic"]):
             words = [w for w in map(plain, (text or "").split()) if w]
             for before, word, after in zip(["", *words], words, [*words[1:], ""]):
@@ -147,21 +146,23 @@ def _uses(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 for n in STARTS:
                     if len(word) > n:
                         seen.add((n, word[:n], near, toxic))
-        yield pd.DataFrame(list(seen), columns=["kind", "unit", "near", "toxic"])
+            if len(seen) > USES_HELD:
+                yield pd.DataFrame(list(seen), columns=columns)
+                seen = set()
+        yield pd.DataFrame(list(seen), columns=columns)
 
 
 def learn_lexicon(rows: DataFrame) -> Lexicon:
     """Words and starts tied to the toxic label; at most ``MAX_ENTRIES`` reach the driver."""
     uses = rows.mapInPandas(_uses, "kind int, unit string, near string, toxic double")
     once = uses.groupBy("kind", "unit", F.xxhash64("near").alias("near")).agg(F.max("toxic").alias("toxic"))
-    by = once.groupBy("kind", "unit").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c")).where("t >= 3")
-    by = stored(by, "lexicon")
-    totals = once.groupBy("kind").agg(F.sum("toxic").alias("tt"), F.sum(1 - F.col("toxic")).alias("cc"))
+    by = stored(once.groupBy("kind", "unit").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c")), "lexicon")
+    totals = by.groupBy("kind").agg(F.sum("t").alias("tt"), F.sum("c").alias("cc"))
     n = F.col("t") + F.col("c")
     rate = F.col("tt") / (F.col("tt") + F.col("cc"))
     share = F.col("t") / n
     rest = F.when(F.col("c") > 0, F.col("c") * F.log((1 - share) / (1 - rate))).otherwise(0.0)
-    scored = by.join(F.broadcast(totals), "kind").withColumn("g", 2 * (F.col("t") * F.log(share / rate) + rest)).withColumn(
+    scored = by.where("t >= 3").join(F.broadcast(totals), "kind").withColumn("g", 2 * (F.col("t") * F.log(share / rate) + rest)).withColumn(
         "odds", F.log((F.col("t") + 0.5) / (F.col("tt") + 1)) - F.log((F.col("c") + 0.5) / (F.col("cc") + 1)))
     kept = scored.where((F.col("g") >= MIN_G) & (F.col("odds") >= MIN_LOG_ODDS)).orderBy(F.desc("g"), "kind", "unit").limit(MAX_ENTRIES)
     found = [(r["kind"], r["unit"]) for r in kept.select("kind", "unit").collect()]
