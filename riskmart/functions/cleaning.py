@@ -15,6 +15,9 @@ def _col(c) -> Column:
 
 
 def typed(c, dtype: str) -> Column:
+    """Cast that gives null for unreadable text; whole numbers may be written with a fraction, which is cut off."""
+    if dtype == "int":
+        return F.coalesce(_col(c).try_cast("int"), _col(c).try_cast("double").try_cast("int"))
     return _col(c).try_cast(dtype)
 
 

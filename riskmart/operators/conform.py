@@ -9,11 +9,6 @@ from riskmart import config as C
 from riskmart.functions import cleaning as clean
 
 
-def month_of(raw: DataFrame, month: str) -> DataFrame:
-    """Rows of one month by exact text match, as ingested."""
-    return raw.where(F.col("snapshot_date") == month)
-
-
 def enforce_types(df: DataFrame, types: dict) -> DataFrame:
     """Listed columns cast in one projection, others passed on."""
     return df.select(*[clean.typed(c, types[c]).alias(c) if c in types else F.col(c) for c in df.columns])
@@ -22,13 +17,19 @@ def enforce_types(df: DataFrame, types: dict) -> DataFrame:
 def loan_daily(raw: DataFrame) -> DataFrame:
     """Typed repayments with months on book and days past due.
 
-    Every null number becomes 0, months on book included; ``zero_filled_mob`` counts those rows.
+    Every number that is null or NaN becomes 0, months on book included; ``zero_filled_mob`` counts those rows.
     """
     typed = enforce_types(raw, C.LOAN_DAILY_TYPES)
-    numbers = [c for c in typed.columns if C.LOAN_DAILY_TYPES.get(c) in ("int", "float")]
+
+    def filled_number(c):
+        kind = C.LOAN_DAILY_TYPES.get(c)
+        if kind not in ("int", "float"):
+            return F.col(c)
+        zero = F.lit(0).cast(kind)
+        return F.coalesce(F.nanvl(c, zero) if kind == "float" else F.col(c), zero).alias(c)
+
     filled = typed.select(
-        *[F.coalesce(F.col(c), F.lit(0).cast(C.LOAN_DAILY_TYPES[c])).alias(c) if c in numbers else F.col(c)
-          for c in typed.columns],
+        *[filled_number(c) for c in typed.columns],
         F.coalesce(F.col("installment_num"), F.lit(0)).alias("mob"),
         clean.missed_instalments("overdue_amt", "due_amt").alias("installments_missed"),
     )

@@ -99,12 +99,15 @@ def ratio_columns() -> list[Column]:
     ]
 
 
-def features(loans: DataFrame, attrs: DataFrame, fins: DataFrame, clicks: DataFrame, columns=C.CLICK_COLUMNS) -> DataFrame:
-    """Feature store over all application months: 3 keys and 78 features in fixed order."""
+def features(loans: DataFrame, attrs: DataFrame, fins: DataFrame, clicks: DataFrame, columns=C.CLICK_COLUMNS, run_month: bool = False) -> DataFrame:
+    """Feature store over all application months: 3 keys and 78 features in fixed order, on request also the run month.
+
+    The run month is the month of the loan row; a row's snapshot date is the loan's start, which may lie in another month.
+    """
     apps = applications(loans)
     past = click_history(clicks, apps, columns)
     base = application_base(apps, attrs, fins, past)
     return base.select(
         *C.KEYS, "loan_amt", "tenure", *C.NUMERIC_FEATURES, *ratio_columns(),
-        *occupation_columns(), *loan_type_columns(), *behaviour_columns(), *history_columns(columns),
+        *occupation_columns(), *loan_type_columns(), *behaviour_columns(), *history_columns(columns), *(["run_month"] if run_month else []),
     )

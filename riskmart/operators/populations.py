@@ -1,4 +1,7 @@
-"""Row and column sets for training, scoring and monitoring."""
+"""Row and column sets for training, scoring and monitoring.
+
+Loan ids are unique, so joins on them are left to adaptive execution; only joins on customers look for hot keys.
+"""
 
 from __future__ import annotations
 
@@ -6,7 +9,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskmart import config as C
-from riskmart.operators.joins import spread_join
 
 NOT_FEATURES = C.KEYS + ["label", "label_def", "label_date", "run_month"]
 
@@ -17,7 +19,7 @@ def labelled(features: DataFrame, labels: DataFrame, as_of=None) -> DataFrame:
     if as_of is not None:
         day = F.lit(as_of).cast("date")
         known, features = known.where(F.col("label_date") <= day), features.where(F.col("snapshot_date") <= day)
-    return spread_join(features, known, ["loan_id"], "inner")
+    return features.join(known, ["loan_id"])
 
 
 def run_summary(features: DataFrame, labels: DataFrame, mob: int = 6) -> DataFrame:
@@ -58,13 +60,13 @@ def matured_cohort(predictions: DataFrame, labels: DataFrame, mob: int = 6, go_l
     if go_live is not None:
         due = due.where(F.col("snapshot_date") >= F.lit(go_live).cast("date"))
     known = labels.select("loan_id", F.col("snapshot_date").alias("label_date"), "label")
-    return spread_join(due, known, ["loan_id", "label_date"], "inner")
+    return due.join(known, ["loan_id", "label_date"])
 
 
 def with_features(predictions: DataFrame, features: DataFrame, columns: list[str]) -> DataFrame:
     """Feature values of the scored applications."""
     wanted = features.select("loan_id", "snapshot_date", *columns)
-    return spread_join(predictions, wanted, ["loan_id", "snapshot_date"], "inner")
+    return predictions.join(wanted, ["loan_id", "snapshot_date"])
 
 
 def live_versions(moments: DataFrame, registry: DataFrame, on: str, strictly_before: bool = False) -> DataFrame:

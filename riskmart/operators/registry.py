@@ -21,6 +21,11 @@ def version_name(slot: Column, trained_on: Column) -> Column:
     return F.concat_ws("_", slot, F.date_format(trained_on, "yyyy_MM_dd"))
 
 
+def passes(challenger_auc: Column, champion: Column, champion_auc: Column, tolerance: float) -> Column:
+    """The gate: a first version passes; another one only if both AUCs are known and it is not behind."""
+    return champion.isNull() | F.coalesce(challenger_auc >= champion_auc - tolerance, F.lit(False))
+
+
 def promotions(evaluations: DataFrame, tolerance: float = 0.0) -> DataFrame:
     """Outcome of every run: slot, trained_on, version, challenger_auc, champion_version, champion_auc, promoted.
 
@@ -42,7 +47,7 @@ def promotions(evaluations: DataFrame, tolerance: float = 0.0) -> DataFrame:
         own = F.element_at(scores, run["version"])
         champion = state["champion"]
         rival = F.when(champion.isNotNull(), F.element_at(scores, champion))
-        wins = champion.isNull() | F.coalesce(own >= rival - tolerance, F.lit(False))
+        wins = passes(own, champion, rival, tolerance)
         decision = F.struct(
             run["trained_on"].alias("trained_on"), run["version"].alias("version"), own.alias("challenger_auc"),
             champion.alias("champion_version"), rival.alias("champion_auc"), wins.alias("promoted"),
@@ -60,9 +65,9 @@ def promotions(evaluations: DataFrame, tolerance: float = 0.0) -> DataFrame:
 
 
 def recorded_promotions(decisions: DataFrame, tolerance: float = 0.0) -> DataFrame:
-    """Gate applied to recorded AUC pairs (slot, trained_on, version, challenger_auc, champion_auc)."""
-    wins = F.col("champion_auc").isNull() | (F.col("challenger_auc") >= F.col("champion_auc") - tolerance)
-    return decisions.withColumn("promoted", F.coalesce(wins, F.lit(False)))
+    """Gate applied to recorded pairs (slot, trained_on, version, challenger_auc, champion_version, champion_auc)."""
+    wins = passes(F.col("challenger_auc"), F.col("champion_version"), F.col("champion_auc"), tolerance)
+    return decisions.withColumn("promoted", wins)
 
 
 def intervals(decisions: DataFrame) -> DataFrame:

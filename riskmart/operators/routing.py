@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskmart import config as C
-from riskmart.operators.joins import spread_join
 
 
 def decide(scored: DataFrame) -> DataFrame:
@@ -19,7 +18,7 @@ def route(predictions: DataFrame) -> DataFrame:
     full = predictions.where(F.col("model_slot") == "model_1")
     core = predictions.where(F.col("model_slot") == "model_2")
     taken = full.select("loan_id", "snapshot_date").distinct()
-    fallback = spread_join(core, taken, ["loan_id", "snapshot_date"], "left_anti")
+    fallback = core.join(taken, ["loan_id", "snapshot_date"], "left_anti")
     return (
         full.unionByName(fallback, allowMissingColumns=True)
         .withColumnRenamed("model_slot", "routed_to")

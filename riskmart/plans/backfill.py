@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from riskmart.config import CLICK_COLUMNS, REQUIRED_COLUMNS, Policy
 from riskmart.operators import conform, gold, populations
 from riskmart.sources import raw
-from riskmart.sources.tables import read_range, read_table, write_table
+from riskmart.sources.tables import read_table, write_table
 
 SILVER = {
     "loan_daily": conform.loan_daily, "attributes": conform.attributes, "financials": conform.financials,
@@ -30,7 +30,8 @@ def bronze_and_silver(spark: SparkSession, sources: dict, root: str, policy: Pol
         bronze = os.path.join(root, "bronze", table)
         raw.ingest(source, bronze, start, end)
         rows = raw.read_bronze(spark, bronze, source.schema, start, end)
-        write_table(SILVER[table](rows), os.path.join(root, "silver", table), ["snapshot_date"])
+        # bronze is read by month; only deduplicated clicks are dealt otherwise
+        write_table(SILVER[table](rows), os.path.join(root, "silver", table), ["snapshot_date"], rebalance=table == "clickstream", within=(start, end))
 
 
 def silver(spark: SparkSession, root: str, table: str, first=None, last=None) -> DataFrame:
@@ -41,30 +42,23 @@ def gold_stores(spark: SparkSession, root: str, policy: Policy, first=None, last
     """Labels, and features of the months in the range; clickstream is read from its start, as averages go back."""
     start, end = window(policy, "label_store", first, last)
     labels = gold.labels(silver(spark, root, "loan_daily", start, end), policy.label_dpd, policy.label_mob)
-    write_table(labels, os.path.join(root, "gold", "label_store"), ["snapshot_date"])
+    write_table(labels, os.path.join(root, "gold", "label_store"), ["snapshot_date"], rebalance=False, within=(start, end))
     start, end = window(policy, "feature_store", first, last)
     features = gold.features(
         silver(spark, root, "loan_daily", start, end), silver(spark, root, "attributes", start, end),
-        silver(spark, root, "financials", start, end), silver(spark, root, "clickstream", None, end), CLICK_COLUMNS,
+        silver(spark, root, "financials", start, end), silver(spark, root, "clickstream", None, end), CLICK_COLUMNS, run_month=True,
     )
-    write_table(features, os.path.join(root, "gold", "feature_store"), ["snapshot_date"], check=False)
+    write_table(features, os.path.join(root, "gold", "feature_store"), ["run_month"], check=False, within=(start, end))
 
 
 def stores(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
-    """(features, labels) of all months."""
+    """(features, labels) of all months. Features carry and are kept by ``run_month``, labels by ``snapshot_date``."""
     return tuple(read_table(spark, os.path.join(root, "gold", t)) for t in ("feature_store", "label_store"))
 
 
 def run(spark: SparkSession, sources: dict, root: str, policy: Policy = Policy(), first=None, last=None) -> DataFrame:
-    """Build or rebuild the months of a range; other months stay as they are. Returns the run summary."""
+    """Build or rebuild exactly the run months of a range; other months stay as they are. Returns the run summary."""
     bronze_and_silver(spark, sources, root, policy, first, last)
     gold_stores(spark, root, policy, first, last)
     return populations.run_summary(*stores(spark, root), policy.label_mob)
 
-
-def features_between(spark: SparkSession, root: str, first=None, last=None) -> DataFrame:
-    return read_range(stores(spark, root)[0], first, last)
-
-
-def labels_between(spark: SparkSession, root: str, first=None, last=None) -> DataFrame:
-    return read_range(stores(spark, root)[1], first, last)

@@ -92,6 +92,22 @@ def idempotent_overwrite(spark, sf):
     )
 
 
+@query("monthly_rebuild", """
+select run_month, snapshot_date, count(*) as n_rows from (
+  select snapshot_date as run_month, loan_start_date as snapshot_date from v_loan_daily
+  where mob_of(installment_num, loan_id) = 0 and snapshot_date <> date '1996-05-01') group by 1, 2""".replace(
+    "mob_of(installment_num, loan_id)", "(case when cast(loan_id as bigint) % 50 = 1 then 0 else installment_num end)"))
+def monthly_rebuild(spark, sf):
+    """Applications of all months, then two months again of which one is empty now; unreadable instalment numbers give foreign start dates."""
+    path = run_folder(spark, "applications")
+    unread = F.when(F.col("loan_id").cast("long") % 50 == 1, F.lit("n/a")).otherwise(F.col("installment_num").cast("string"))
+    apps = gold.applications(conform.loan_daily(view(spark, sf, "v_loan_daily").withColumn("installment_num", unread)))
+    tables.write_table(apps, path, ["run_month"], within=("1990-01-01", "2010-01-01"))
+    again = apps.where("run_month = date '1996-04-01'")
+    tables.write_table(again, path, ["run_month"], within=("1996-04-01", "1996-05-01"))
+    return tables.read_table(spark, path).groupBy("run_month", "snapshot_date").agg(F.count("*").alias("n_rows"))
+
+
 CONTRACT_VIEWS = {
     "loan_daily": "v_loan_daily", "attributes": "v_attributes", "financials": "v_financials", "clickstream": "v_clickstream",
 }
@@ -195,6 +211,51 @@ def silver_loan_daily(spark, sf):
     return tidy(conform.loan_daily(view(spark, sf, "v_loan_daily")))
 
 
+_K = "cast(loan_id as bigint) % 40"
+
+part("v_loan_text", f"""
+select loan_id, Customer_ID, cast(loan_start_date as varchar) as loan_start_date, cast(tenure as varchar) || '.0' as tenure,
+  case when {_K} = 1 then cast(installment_num as varchar) || '.0' when {_K} = 2 then '  ' || installment_num || ' ' when {_K} = 3 then 'n/a'
+       when {_K} = 4 then '' when {_K} = 5 then cast(installment_num as varchar) || '.9' else cast(installment_num as varchar) end as installment_num,
+  cast(loan_amt as varchar) as loan_amt, case when {_K} = 6 then 'NaN' when {_K} = 7 then '' else cast(cast(trunc(due_amt) as int) as varchar) end as due_amt,
+  case when {_K} = 8 then 'unpaid' else cast(cast(trunc(due_amt) as int) / 2 as varchar) end as paid_amt,
+  case when {_K} = 9 then ' ' when {_K} = 10 then 'NaN' else cast(cast(trunc(overdue_amt) as int) as varchar) end as overdue_amt,
+  case when {_K} = 11 then 'NaN' else '12' end as balance, cast(snapshot_date as varchar) as snapshot_date
+from v_loan_daily""")
+
+part("s_loan_text", f"""
+select *, case when overdue_amt > 0 then cast(date_diff('day', first_missed_date, snapshot_date) as int) else 0 end as dpd
+from (select *, case when installments_missed > 0 then cast(snapshot_date - to_months(installments_missed) as date) end as first_missed_date
+from (select loan_id, Customer_ID, cast(loan_start_date as date) as loan_start_date, 10 as tenure, n as installment_num,
+             cast(l as float) as loan_amt, cast(d as float) as due_amt, cast(p as float) as paid_amt, cast(o as float) as overdue_amt, cast(b as float) as balance,
+             cast(snapshot_date as date) as snapshot_date, n as mob, cast(coalesce(ceil(o / nullif(d, 0)), 0) as int) as installments_missed
+      from (select *, cast(coalesce(trunc(try_cast(nullif(trim(installment_num), '') as double)), 0) as int) as n,
+                   {', '.join(f"case when {c} in ('', ' ', 'NaN', 'unpaid') then 0 else cast({c} as double) end as {c[0]}" for c in ('loan_amt', 'due_amt', 'paid_amt', 'overdue_amt', 'balance'))}
+            from v_loan_text)))""")
+
+
+@query("loan_daily_text", f"""
+select loan_id, Customer_ID, loan_start_date, tenure, installment_num, {rnd('loan_amt', digits=0)}, {rnd('due_amt')}, {rnd('paid_amt', digits=0)}, {rnd('overdue_amt')},
+       {rnd('balance')}, snapshot_date, mob, installments_missed, first_missed_date, dpd from s_loan_text""")
+def loan_daily_text(spark, sf):
+    """Silver loans from text: fractions, blanks, NaN and words among the numbers, all eleven columns."""
+    k = F.col("loan_id").cast("long") % 40
+    text = {c: F.col(c).cast("string") for c in ("loan_start_date", "loan_amt", "snapshot_date")}
+    n, due, over = (F.col(c).cast("int").cast("string") for c in ("installment_num", "due_amt", "overdue_amt"))
+    raw_rows = view(spark, sf, "v_loan_daily").withColumns(text | {
+        "tenure": F.concat(F.col("tenure").cast("string"), F.lit(".0")),
+        "installment_num": F.when(k == 1, F.concat(n, F.lit(".0"))).when(k == 2, F.concat(F.lit("  "), n, F.lit(" "))).when(k == 3, "n/a")
+        .when(k == 4, "").when(k == 5, F.concat(n, F.lit(".9"))).otherwise(n),
+        "due_amt": F.when(k == 6, "NaN").when(k == 7, "").otherwise(due),
+        "paid_amt": F.when(k == 8, "unpaid").otherwise((F.col("due_amt").cast("int") / 2).cast("string")),
+        "overdue_amt": F.when(k == 9, " ").when(k == 10, "NaN").otherwise(over),
+        "balance": F.when(k == 11, "NaN").otherwise("12"),
+    })
+    silver = conform.loan_daily(raw_rows)
+    whole = {c: F.round(F.col(c).cast("double"), 0) for c in ("loan_amt", "paid_amt")}
+    return tidy(silver.withColumns(whole))
+
+
 @query("days_past_due", """
 select snapshot_date, mob, count(*) as n_rows, cast(sum(installments_missed) as bigint) as missed, cast(sum(dpd) as bigint) as dpd,
        count(first_missed_date) as n_late, count(*) - count(dpd) as n_unknown

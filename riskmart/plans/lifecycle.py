@@ -93,7 +93,7 @@ def train_and_promote(cycle: Cycle, slot: str, month: date, known: DataFrame, re
 
 def score_month(cycle: Cycle, month: date, features: DataFrame) -> None:
     """Predictions of the live versions and the routed decisions of one month."""
-    apps = read_range(features, month, month)
+    apps = read_range(features, month, month, "run_month" if "run_month" in features.columns else "snapshot_date")
     for slot, kind in cycle.policy.feature_sets.items():
         if populations.slot_population(apps, kind).isEmpty():
             continue

@@ -2,11 +2,22 @@
 
 from __future__ import annotations
 
+import json
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from riskmart.session import run_folder
 
+SCHEMA = "_schema"
+
+
+def _place(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
 
 def partition_counts(df: DataFrame, by: list[str]) -> dict:
     """Rows per partition value; a handful of rows, one per month (and slot)."""
@@ -14,21 +25,26 @@ def partition_counts(df: DataFrame, by: list[str]) -> dict:
     return {tuple(r[c] for c in by): r["n"] for r in df.groupBy(*text).agg(F.count("*").alias("n")).collect()}
 
 
-def write_table(df: DataFrame, path: str, by: list[str], check: bool = True) -> None:
-    """Replace exactly the partitions present in the frame; other partitions stay.
+def write_table(df: DataFrame, path: str, by: list[str], check: bool = True, rebalance: bool = True, within: tuple | None = None) -> None:
+    """Replace the partitions present in the frame; with ``within``, exactly those of a range of the first partition column.
 
-    ``rebalance`` lets adaptive execution size the files: small partitions are merged, a partition
-    holding much of the table is split over several tasks. With ``check`` the written partitions are read
-    back and their row counts compared with the frame's; that count reads the partition columns only, so it
-    is left out where they come from a join.
+    ``within`` is (first, last), inclusive: partitions of the range go before the new ones are written, so a month that has no row any more
+    does not keep old ones. Partitions outside stay. The table's schema is kept beside it, so that a table without a row can be read.
+    ``rebalance`` lets adaptive execution size the files: small partitions are merged, a partition holding much of the table is split over several tasks; narrow
+    tables that already come by partition do without. With ``check`` the written partitions are read back and their row
+    counts compared with the frame's; that count reads the partition columns only, so it is left out where they come from a join.
     """
+    spark = df.sparkSession
     expected = partition_counts(df, by) if check else {}
+    if within is not None:
+        _drop_partitions(spark, path, by[0], within)
     (
-        df.hint("rebalance", *by)
+        (df.hint("rebalance", *by) if rebalance else df)
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
     )
+    spark.createDataFrame([(df.schema.json(),)], "value string").coalesce(1).write.mode("overwrite").text(os.path.join(path, SCHEMA))
     if expected:
-        stored_rows = df.sparkSession.read.schema(df.schema).parquet(path)
+        stored_rows = spark.read.schema(df.schema).parquet(path)
         values = sorted({k[0] for k in expected if k[0] is not None})
         found = partition_counts(stored_rows.where(F.col(by[0]).cast("string").isin(values) | F.col(by[0]).isNull()), by)
         wrong = {k: (n, found.get(k, 0)) for k, n in expected.items() if found.get(k, 0) != n}
@@ -36,6 +52,24 @@ def write_table(df: DataFrame, path: str, by: list[str], check: bool = True) ->
             raise IOError(f"{path}: partitions with (written, read back) rows {dict(list(wrong.items())[:5])}")
 
 
+def _drop_partitions(spark: SparkSession, path: str, column: str, within: tuple) -> None:
+    """Delete the folders of a range of the first partition column."""
+    place, files = _place(spark, path)
+    first, last = (str(v) for v in within)
+    for status in files.listStatus(place) if files.exists(place) else []:
+        name, _, value = status.getPath().getName().partition("=")
+        if name == column and first <= value <= last:
+            files.delete(status.getPath(), True)
+
+
+def schema_of(spark: SparkSession, path: str) -> StructType | None:
+    """The schema a table was written with; None for tables written otherwise."""
+    place, files = _place(spark, os.path.join(path, SCHEMA))
+    if not files.exists(place):
+        return None
+    return StructType.fromJson(json.loads(spark.read.text(os.path.join(path, SCHEMA)).first()["value"]))
+
+
 def read_range(df: DataFrame, first=None, last=None, column: str = "snapshot_date") -> DataFrame:
     """Rows between two optional, inclusive dates; on a partition column only those folders are read."""
     if first is not None:
@@ -45,8 +79,9 @@ def read_range(df: DataFrame, first=None, last=None, column: str = "snapshot_dat
     return df
 
 
-def read_table(spark: SparkSession, path: str, first=None, last=None, columns=None) -> DataFrame:
-    df = read_range(spark.read.parquet(path), first, last)
+def read_table(spark: SparkSession, path: str, first=None, last=None, columns=None, column: str = "snapshot_date") -> DataFrame:
+    schema = schema_of(spark, path)
+    df = read_range((spark.read.schema(schema) if schema else spark.read).parquet(path), first, last, column)
     return df.select(*columns) if columns else df
 
 

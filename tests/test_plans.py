@@ -47,6 +47,27 @@ def test_backfill_equals_the_direct_stores(spark, sf, sources):
     assert {tuple(r) for r in labels.select("loan_id", "label").collect()} == {tuple(r) for r in known.collect()}
 
 
+def test_one_month_again_keeps_the_others(spark, sf, sources):
+    """A rebuilt month whose rows start in other months, in a store that holds those months too."""
+    root, loans = run_folder(spark, "again"), run_folder(spark, "csv-foreign")
+    foreign = (F.col("loan_id").cast("long") % 10 == 0) & (F.col("installment_num") == 1)
+    rows = view(spark, sf, "v_loan_daily").withColumn("installment_num", F.when(foreign, F.lit("n/a")).otherwise(F.col("installment_num").cast("string")))
+    rows.write.options(header=True).csv(loans)
+    mixed = sources | {"loan_daily": loans}
+    backfill.run(spark, mixed, root, EARLY)
+    count = lambda: {tuple(r) for r in backfill.stores(spark, root)[0].groupBy("run_month", "snapshot_date").count().collect()}
+    before = count()
+    assert any(r[0] != r[1] for r in before)
+    backfill.run(spark, mixed, root, EARLY, date(1995, 3, 1), date(1995, 3, 1))
+    assert count() == before
+
+
+def test_first_months_have_no_label(spark, sources):
+    root = run_folder(spark, "first")
+    summary = backfill.run(spark, sources, root, EARLY, date(1995, 1, 1), date(1995, 2, 1)).first()
+    assert summary["n_labels"] == 0 and summary["n_features"] > 0 and summary["n_matured"] == 0
+
+
 def test_contract_failure(spark):
     with pytest.raises(ValueError):
         raw.require_columns(spark.range(1), ["loan_id"], "loans")

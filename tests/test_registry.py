@@ -28,7 +28,14 @@ RECORDED = [
 def recorded(spark):
     rows = [(s, date.fromisoformat(t), a, b) for s, t, a, b, _, _ in RECORDED]
     df = spark.createDataFrame(rows, "slot string, trained_on date, challenger_auc double, champion_auc double")
-    return df.withColumn("version", registry.version_name(F.col("slot"), F.col("trained_on")))
+    met = F.when(F.col("champion_auc").isNotNull(), F.lit("the version before"))
+    return df.withColumn("version", registry.version_name(F.col("slot"), F.col("trained_on"))).withColumn("champion_version", met)
+
+
+def test_unknown_auc_loses(spark):
+    rows = [("s", date(2024, 1, 1), "v1", None, None, None), ("s", date(2024, 2, 1), "v2", 0.7, "v1", None), ("s", date(2024, 3, 1), "v3", None, "v1", 0.6)]
+    df = spark.createDataFrame(rows, "slot string, trained_on date, version string, challenger_auc double, champion_version string, champion_auc double")
+    assert [r["promoted"] for r in registry.recorded_promotions(df).orderBy("trained_on").collect()] == [True, False, False]
 
 
 def test_replay(spark):
