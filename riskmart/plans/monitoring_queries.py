@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from dataclasses import replace
 from datetime import date
 
@@ -34,7 +35,12 @@ class World:
         day = F.col("snapshot_date")
         self.live = all_predictions.where(day >= F.lit(GO_LIVE))
         self.before = all_predictions.where(day < F.lit(GO_LIVE))
-        self.labels = stored(view(spark, sf, "v_labels"), "labels")
+        self.spark, self.sf = spark, sf
+
+    @functools.cached_property
+    def labels(self):
+        """Written only where a query reads them."""
+        return stored(view(self.spark, self.sf, "v_labels"), "labels")
 
     def routed(self):
         return routing.route(self.live)
@@ -325,9 +331,9 @@ from (select c.model_slot, feature, max(value) filter (where cohort_date = newes
 
 @query("csi_matrix", """
 select c.model_slot, c.feature, cast(r.position as int) as position, cohort_date, round(avg(c.value), 6) as csi
-from w_csi c join w_csi_rank r using (model_slot, feature) where r.position <= 3 group by 1, 2, 3, 4""")
+from w_csi c join w_csi_rank r using (model_slot, feature) where r.position <= 10 group by 1, 2, 3, 4""")
 def csi_matrix(spark, sf):
-    return tidy(report.csi_matrix(stored(World(spark, sf).slot_stability(), "facts"), 3), 6)
+    return tidy(report.csi_matrix(stored(World(spark, sf).slot_stability(), "facts"), POLICY.top_features_monitored), 6)
 
 
 part("w_corr", "select model_slot, model_version, " + ", ".join(f"round(abs(corr({f}, label)), 6) as {f}" for f in FEATURES)
@@ -337,12 +343,12 @@ part("w_corr", "select model_slot, model_version, " + ", ".join(f"round(abs(corr
 @query("top_features", """
 select model_slot, model_version, feature, importance, cast(rank as int) as rank from (
   select *, row_number() over (partition by model_slot, model_version order by importance desc, feature) as rank
-  from (unpivot w_corr on amount, quantity, tax into name feature value importance) where feature <> 'returned') where rank <= 2""")
+  from (unpivot w_corr on amount, quantity, tax into name feature value importance) where feature <> 'returned') where rank <= 10""")
 def top_features(spark, sf):
     """Most important features per version; importance here is the correlation with the label."""
     known = World(spark, sf).matured_before()
     strength = known.groupBy(*VERSION).agg(*[F.round(F.abs(F.corr(f, "label")), 6).alias(f) for f in FEATURES])
-    return splits.top_features(strength.unpivot(VERSION, FEATURES, "feature", "importance"), VERSION, 2, ["returned"])
+    return splits.top_features(strength.unpivot(VERSION, FEATURES, "feature", "importance"), VERSION, POLICY.top_features_monitored, ["returned"])
 
 
 @query("latest_periods", "select snapshot_date, count(*) as n_rows from v_predictions where snapshot_date in (select distinct snapshot_date from v_predictions order by 1 desc limit 5) group by 1")
