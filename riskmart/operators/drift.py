@@ -6,6 +6,8 @@ one bin per distinct value, so the number of bins has no bound and must not sit
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +17,9 @@ from riskmart.sources.tables import stored
 
 MISSING = -1
 ARRAY_EDGES = 64
+# Size of the rank sketch, and the width of a bracket to each side of a rank in steps of 1 / ACCURACY.
+ACCURACY = 2000
+MARGIN = 4
 
 
 def melt(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
@@ -23,26 +28,66 @@ def melt(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
     return df.select(*keys, *values).unpivot(keys, columns, "variable", "value")
 
 
+def near_ranks(long: DataFrame, keys: list[str], fractions: list[float]) -> DataFrame:
+    """(keys, value, _n, _own): rows per value near the wanted ranks, all other rows counted with the next such value below.
+
+    A sketch brackets each rank from both sides, the smallest and largest value being known exactly. Rows outside all brackets move to the upper
+    end of the bracket below them, which leaves the ranks inside brackets as they are; ``_own`` counts the rows that did not move. About
+    2 * MARGIN / ACCURACY of the rows per fraction keep their value, the others are combined before the shuffle.
+    """
+    inner = [f for f in fractions if 0 < f < 1]
+    ends = [min(max(f + side * MARGIN / ACCURACY, 0.0), 1.0) for f in inner for side in (-1, 1)]
+    known = long.where(F.col("value").isNotNull())
+    sketch = known.groupBy(*keys).agg(
+        F.min("value").alias("_min"), F.max("value").alias("_max"), F.percentile_approx("value", ends, ACCURACY).alias("_ends"))
+    pairs = [F.struct(F.col("_ends")[2 * i].alias("low"), F.col("_ends")[2 * i + 1].alias("high")) for i in range(len(inner))]
+    edge = [F.struct(F.col(c).alias("low"), F.col(c).alias("high")) for c in ("_min", "_max")]
+    # one row per variable and model version
+    brackets = stored(sketch.select(*keys, F.array(edge[0], *pairs, edge[1]).alias("_brackets")), "brackets")
+    value = F.col("value")
+    inside = F.exists("_brackets", lambda b: value.between(b["low"], b["high"]))
+    below = F.array_max(F.transform(F.filter("_brackets", lambda b: b["high"] <= value), lambda b: b["high"]))
+    marked = known.join(F.broadcast(brackets), keys).select(*keys, "value", inside.alias("_inside"), below.alias("_below"))
+    # named apart: an alias "value" beside lambdas over the column "value" would be taken for it
+    at = F.when(F.col("_inside"), value).otherwise(F.col("_below"))
+    counts = marked.groupBy(*keys, at.alias("_at")).agg(F.count("*").alias("_n"), F.count_if("_inside").alias("_own"))
+    return counts.withColumnRenamed("_at", "value")
+
+
 def decile_edges(long: DataFrame, keys: list[str], bins: int = 10) -> DataFrame:
     """Inner bin edges of the reference values: (keys, edge_no from 1, edge), value column ``value``.
 
     Distinct deciles without the outermost two. With at most two distinct deciles the edges are the
     midpoints between all neighbouring distinct values. Constant or empty variables have no inner edge.
-    The counted values and the edges are read several times, so both are stored.
+    Only rows near a decile are sorted. All distinct values are gathered for variables with two distinct deciles, and for those
+    where a decile fell outside its bracket, so the result is exact whatever the sketch gave.
     """
-    counted = long.select(*keys, "value", F.lit(1).cast("long").alias("_n"))
-    runs = stored(running_totals(counted, keys, "value", ["_n"]), "runs")
-    deciles = interpolated(runs, keys, "value", [i / bins for i in range(bins + 1)])
-    distinct = deciles.select(*keys, F.array_distinct("quantiles").alias("e"))
-    # one array of at most bins + 1 numbers per variable; a variable is a column, a key a model version
-    shaped = runs.where(F.col("prev_value").isNotNull()).join(F.broadcast(distinct.where(F.size("e") == 2)), keys, "left_semi")
-    middle = shaped.select(
-        *keys, (F.col("place") - 1).alias("edge_no"), ((F.col("prev_value") + F.col("value")) / 2).alias("edge")
-    )
-    inner = distinct.where(F.size("e") > 2).select(
+    fractions = [i / bins for i in range(bins + 1)]
+    runs = running_totals(near_ranks(long, keys, fractions), keys, "value", ["_n", "_own"])
+    deciles = interpolated(runs, keys, "value", fractions, own="_own")
+    missed = (F.size("quantiles") < len(fractions)) | F.exists("quantiles", lambda q: q.isNull())
+    distinct = stored(deciles.select(*keys, F.array_distinct("quantiles").alias("e"), missed.alias("missed")), "deciles")
+    whole = F.col("missed") | (F.size("e") == 2)
+    found = distinct.where(~whole)
+    again = distinct.where(whole).select(*keys)
+    parts = [_inner(found, keys)]
+    if not again.isEmpty():
+        counted = long.join(F.broadcast(again), keys, "left_semi").select(*keys, "value", F.lit(1).cast("long").alias("_n"))
+        runs = stored(running_totals(counted, keys, "value", ["_n"]), "runs")
+        exact = interpolated(runs, keys, "value", fractions).select(*keys, F.array_distinct("quantiles").alias("e"))
+        # one array of at most bins + 1 numbers per variable; a variable is a column, a key a model version
+        shaped = runs.where(F.col("prev_value").isNotNull()).join(F.broadcast(exact.where(F.size("e") == 2)), keys, "left_semi")
+        middle = shaped.select(
+            *keys, (F.col("place") - 1).alias("edge_no"), ((F.col("prev_value") + F.col("value")) / 2).alias("edge"))
+        parts += [_inner(exact, keys), middle]
+    return stored(reduce(DataFrame.unionByName, parts), "edges")
+
+
+def _inner(distinct: DataFrame, keys: list[str]) -> DataFrame:
+    """Deciles without the outermost two as rows, where there are more than two."""
+    return distinct.where(F.size("e") > 2).select(
         *keys, F.posexplode(F.slice("e", F.lit(2), F.size("e") - 2)).alias("_i", "edge")
     ).select(*keys, (F.col("_i") + 1).cast("long").alias("edge_no"), "edge")
-    return stored(inner.unionByName(middle), "edges")
 
 
 def bin_counts(long: DataFrame, edges: DataFrame, keys: list[str], edge_keys: list[str]) -> DataFrame:

@@ -83,9 +83,13 @@ def quantiles(df: DataFrame, keys: list[str], value: str, fractions: list[float]
     return interpolated(runs, keys, value, fractions)
 
 
-def interpolated(runs: DataFrame, keys: list[str], value: str, fractions: list[float]) -> DataFrame:
-    """Quantiles from running counts; at most two rows per group and fraction pass the first step."""
-    first, last, n = F.col("cum__n") - F.col("_n"), F.col("cum__n") - 1, F.col("total__n")
+def interpolated(runs: DataFrame, keys: list[str], value: str, fractions: list[float], own: str | None = None) -> DataFrame:
+    """Quantiles from running counts; at most two rows per group and fraction pass the first step.
+
+    ``own`` names how many of a row's ``_n`` have its value, counted before the others: a rank among the others gives a null.
+    """
+    first, n = F.col("cum__n") - F.col("_n"), F.col("total__n")
+    last = first + F.col(own or "_n") - 1
     wanted = F.transform(
         F.array(*[F.lit(float(f)) for f in fractions]), lambda f, i: F.struct(i.alias("i"), (f * (n - 1)).alias("at"))
     )
@@ -93,7 +97,7 @@ def interpolated(runs: DataFrame, keys: list[str], value: str, fractions: list[f
         wanted, lambda t: F.floor(t["at"]).between(first, last) | F.ceil(t["at"]).between(first, last)
     )
     at = F.col("at")
-    ends = runs.select(*keys, value, "_n", "cum__n", "total__n", F.inline(touched)).groupBy(*keys, "i").agg(
+    ends = runs.select(*keys, value, "_n", *([own] if own else []), "cum__n", "total__n", F.inline(touched)).groupBy(*keys, "i").agg(
         F.max("total__n").alias("n"), F.max(at - F.floor(at)).alias("share"),
         F.max(F.when(F.floor(at).between(first, last), F.col(value))).alias("low"),
         F.max(F.when(F.ceil(at).between(first, last), F.col(value))).alias("high"),

@@ -145,3 +145,24 @@ def test_drift_against_brute_force(spark):
         assert itself[name] == pytest.approx(0, abs=1e-12)
     whole = drift.with_empty_bins(shares["now"], edges, key).groupBy("variable").agg(F.sum("proportion").alias("s"), F.count("*").alias("n")).toPandas()
     assert whole.s.tolist() == pytest.approx([1.0] * len(ref))
+
+
+@pytest.mark.parametrize("accuracy, margin", [(2000, 4), (10, 0)])
+def test_deciles_keep_few_rows(spark, monkeypatch, accuracy, margin):
+    """Exact with a good sketch and with a poor one; with the good one no more is stored than brackets, deciles and edges."""
+    kept = {}
+    store = drift.stored
+
+    def counted(df, name):
+        out = store(df, name)
+        kept[name] = out.count()
+        return out
+    monkeypatch.setattr(drift, "stored", counted)
+    monkeypatch.setattr(drift, "ACCURACY", accuracy)
+    monkeypatch.setattr(drift, "MARGIN", margin)
+    values = np.random.default_rng(5).permutation(np.concatenate([np.random.default_rng(4).normal(size=20_000), np.repeat(0.25, 3000)]))
+    edges = drift.decile_edges(long_frame(spark, {"x": values}), ["variable"])
+    assert sorted(r["edge"] for r in edges.collect()) == pytest.approx(list(brute_edges(values)), abs=1e-12)
+    if margin:
+        assert kept == {"brackets": 1, "deciles": 1, "edges": 9}
+        assert drift.near_ranks(long_frame(spark, {"x": values}), ["variable"], [i / 10 for i in range(11)]).count() < 0.05 * len(values)
