@@ -108,19 +108,22 @@ def bin_counts(long: DataFrame, edges: DataFrame, keys: list[str], edge_keys: li
         F.when(F.col("value").isNull(), MISSING).when(F.col("_e").isNull(), 0)
         .otherwise(F.size(F.filter("_e", lambda e: e <= F.col("value"))))
     )
-    direct = marked.where(~many).groupBy(*keys, position.cast("long").alias("bin")).agg(F.count("*").alias("n"))
-    if lookup.where(F.col("_edges") > ARRAY_EDGES).isEmpty():
-        return stored(direct, "bins")
-
-    # many edges: the distinct values share one ordered run with the edges that apply to them
-    cells = marked.where(many).groupBy(*keys, "value").agg(F.count("*").alias("n"))
+    widest = lookup.agg(F.max("_edges")).first()[0] or 0
+    if widest <= ARRAY_EDGES:
+        return stored(marked.groupBy(*keys, position.cast("long").alias("bin")).agg(F.count("*").alias("n")), "bins")
+
+    # one pass for all: a row per bin, and per value where a variable has many edges
+    cells = stored(marked.groupBy(
+        *keys, F.when(~many, position.cast("long")).alias("bin"), F.when(many, F.col("value")).alias("value")).agg(F.count("*").alias("n")), "cells")
+    direct, open_ = cells.where(F.col("bin").isNotNull()).drop("value"), cells.where(F.col("bin").isNull()).drop("bin")
+    # the distinct values share one ordered run with the edges that apply to them
     wide = lookup.where(F.col("_edges") > ARRAY_EDGES).select(*edge_keys)
     steps = edges.join(F.broadcast(wide), edge_keys, "left_semi").select(
         *edge_keys, F.col("edge").alias("value"), F.lit(1).cast("long").alias("_step")
     )
-    values = cells.select(*edge_keys, "value", F.lit(0).cast("long").alias("_step"))
+    values = open_.select(*edge_keys, "value", F.lit(0).cast("long").alias("_step"))
     runs = running_totals(values.unionByName(steps), edge_keys, "value", ["_step"])
-    placed = cells.join(runs.select(*edge_keys, "value", F.col("cum__step").alias("bin")), edge_keys + ["value"])
+    placed = open_.join(runs.select(*edge_keys, "value", F.col("cum__step").alias("bin")), edge_keys + ["value"])
     return stored(direct.unionByName(placed.groupBy(*keys, "bin").agg(F.sum("n").alias("n"))), "bins")
 
 

@@ -12,6 +12,7 @@ from riskmart.operators import drift, metrics, monitoring, routing
 from riskmart.plans.catalog import part, query
 from riskmart.plans.data_queries import tidy
 from riskmart.plans.views import view
+from riskmart.sources.tables import stored
 
 POLICY = Policy()
 COHORT = ["model_slot", "model_version", "cohort_date"]
@@ -211,8 +212,10 @@ _LIGHT = "case when {0} is null then 'info' when {0} > 0.25 then 'red' when {0}
 def feature_csi(spark, sf):
     """Stability index of each feature by version and month against the slot's earlier rows."""
     keys = [*COHORT, "variable"]
-    edges, shares = monitoring.reference_profile(reference_rows(spark, sf), ["model_slot"], VARIABLES)
-    now = view(spark, sf, "v_scored_features").where(F.col("cohort_date") >= F.lit(SPLIT))
+    # the table of scored features that a deployment keeps: read several times, rows and not rows times variables
+    scored = stored(view(spark, sf, "v_scored_features").select(*COHORT, *VARIABLES), "scored")
+    edges, shares = monitoring.reference_profile(scored.where(F.col("cohort_date") < F.lit(SPLIT)), ["model_slot"], VARIABLES)
+    now = scored.where(F.col("cohort_date") >= F.lit(SPLIT))
     long = drift.melt(now, COHORT, VARIABLES)
     actual = drift.proportions(drift.bin_counts(long, edges, keys, REF), keys)
     index = drift.psi(actual, shares, keys, REF)
@@ -228,7 +231,7 @@ psi_part("p_psi", "p_all", "p_ref", "model_slot, cohort_date, variable", "model_
 
 
 def score_index(spark, sf):
-    scored = view(spark, sf, "v_scored").withColumnRenamed("score_cont", "score")
+    scored = stored(view(spark, sf, "v_scored").select("model_slot", "cohort_date", F.col("score_cont").alias("score")), "scored")
     reference = scored.where(F.col("cohort_date") < F.lit(SPLIT))
     edges, shares = monitoring.reference_profile(reference, ["model_slot"], ["score"])
     keys = ["model_slot", "cohort_date", "variable"]
