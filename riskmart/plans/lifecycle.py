@@ -1,15 +1,19 @@
 """The monthly model cycle: retrain, promote, score, route and monitor.
 
-Months are walked in order, because a run depends on the registry left by the last one. Everything heavy in
-a month is a Spark job; the driver holds the registry rows and fitted models only.
+Months are walked in order, because a run depends on the registry left by the last one. Decisions, models, cards and reference profiles
+are kept below one folder and read back from it, so a later session goes on where an earlier one stopped. Everything heavy in
+a month is a Spark job; the driver holds registry rows (slots times run months) and the models in use.
 """
 
 from __future__ import annotations
 
+import dataclasses
+import json
 import os
 from dataclasses import dataclass, field
 from datetime import date
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +27,23 @@ VERSIONS = (
     "slot string, trained_on date, version string, algorithm string, data_end date, oot_auc double, threshold double,"
     " retrain_reason string, challenger_auc double, champion_version string, champion_auc double"
 )
+NAMES = [c.split()[0] for c in VERSIONS.split(", ")]
+
+
+@dataclass
+class Live:
+    """A stored version: what scoring and monitoring need of it."""
+
+    slot: str
+    version: str
+    algorithm: str
+    model: PipelineModel
+    features: list
+    threshold: float
+    monitored: list
+    reference: DataFrame
+    edges: DataFrame
+    shares: DataFrame
 
 
 @dataclass
@@ -33,8 +54,7 @@ class Cycle:
     root: str
     policy: Policy
     space: dict = field(default_factory=lambda: dict(training.TREE_SPACE))
-    rows: list = field(default_factory=list)
-    trained: dict = field(default_factory=dict)
+    loaded: dict = field(default_factory=dict)
 
     def path(self, *parts: str) -> str:
         return os.path.join(self.root, *parts)
@@ -47,22 +67,50 @@ class Cycle:
                 return None
             raise
 
+    def recorded(self) -> DataFrame:
+        """All training runs so far, one row per slot and run month."""
+        found = self.table("registry_runs")
+        return self.spark.createDataFrame([], VERSIONS) if found is None else found.select(*NAMES)
+
+    def record(self, row: tuple) -> None:
+        """Add a run, or replace that of the same slot and month, and write the tables that follow from all runs."""
+        runs = registry.upsert(self.recorded(), self.spark.createDataFrame([row], VERSIONS), ["slot", "trained_on"])
+        # held while the table they were read from is replaced; a row per slot and run month
+        runs = self.spark.createDataFrame([tuple(r) for r in runs.select(*NAMES).collect()], VERSIONS)
+        write_table(runs, self.path("registry_runs"), ["slot"])
+        write_table(self.registry(), self.path("registry_versions"), ["slot"])
+        write_table(registry.events(self.decided()), self.path("registry_events"), ["slot"])
+
+    def decided(self) -> DataFrame:
+        return registry.recorded_promotions(self.recorded(), self.policy.promotion_tolerance)
+
     def registry(self) -> DataFrame:
-        decided = registry.recorded_promotions(self.spark.createDataFrame(self.rows, VERSIONS), self.policy.promotion_tolerance)
-        return registry.intervals(decided)
+        return registry.intervals(self.decided())
 
     def champion(self, slot: str, month: date, strictly_before: bool = False) -> str | None:
-        if not self.rows:
-            return None
         asked = self.spark.createDataFrame([(slot, month)], "slot string, run_month date")
         found = populations.live_versions(asked, self.registry(), "run_month", strictly_before).first()
         return found["version"] if found else None
 
+    def version(self, slot: str, name: str) -> Live:
+        """A version as it was stored, also by an earlier session."""
+        if name not in self.loaded:
+            card = cards.read_cards(self.spark, self.path("cards")).where(F.col("version") == name).first()
+            edges, shares, reference = (
+                self.table(t).where((F.col("model_slot") == slot) & (F.col("model_version") == name)) for t in PROFILE)
+            monitored = [r["variable"] for r in shares.where("variable <> 'score'").select("variable").distinct().orderBy("variable").collect()]
+            model = training.load_model(self.path("models"), slot, name)
+            self.loaded[name] = Live(slot, name, card["algorithm"], model, card["features"], card["decision_threshold"], monitored, reference, edges, shares)
+        return self.loaded[name]
+
+
+PROFILE = ("profile_edges", "profile_shares", "profile_means")
+
 
 def retrain_due(cycle: Cycle, slot: str, month: date, known: DataFrame) -> tuple[bool, str]:
     spark, policy = cycle.spark, cycle.policy
     months = spark.createDataFrame([(slot, month)], "slot string, run_month date")
-    versions = spark.createDataFrame(cycle.rows, VERSIONS).where(F.col("trained_on") < F.lit(month))
+    versions = cycle.recorded().where(F.col("trained_on") < F.lit(month))
     seen = populations.slot_population(known, policy.feature_sets[slot])
     newest = seen.agg(F.max("snapshot_date").alias("newest")).select(
         F.lit(slot).alias("slot"), F.lit(month).alias("run_month"), "newest")
@@ -78,17 +126,16 @@ def train_and_promote(cycle: Cycle, slot: str, month: date, known: DataFrame, re
     """Train a challenger and compare it with the champion on the challenger's out-of-time months."""
     new = training.train_slot(known, slot, month, cycle.policy, cycle.space)
     rival = cycle.champion(slot, month, strictly_before=True)
-    rival_auc = training.auc_of(cycle.trained[rival].model, new.oot) if rival else None
+    rival_auc = training.auc_of(cycle.version(slot, rival).model, new.oot) if rival else None
     ends = months_of(new.oot, []).first()["months"][-1]
-    # running a month again replaces its version
-    cycle.rows = [r for r in cycle.rows if not (r[0] == slot and r[1] == month)]
-    cycle.rows.append((slot, month, new.version, new.algorithm, ends, new.metrics["oot_auc"], new.threshold, reason,
-                       new.metrics["oot_auc"], rival, rival_auc))
-    cycle.trained[new.version] = new
     training.save_model(new.model, cycle.path("models"), slot, new.version)
     cards.write_cards(new.card(cycle.spark, reason), cycle.path("cards"))
-    write_table(new.edges, cycle.path("profile_edges"), ["model_slot", "model_version"])
-    write_table(new.shares, cycle.path("profile_shares"), ["model_slot", "model_version"])
+    for name, rows in zip(PROFILE, (new.edges, new.shares, new.reference)):
+        write_table(rows, cycle.path(name), ["model_slot", "model_version"])
+    cycle.loaded.pop(new.version, None)
+    # last, so that a run that broke off before leaves no version without its files
+    cycle.record((slot, month, new.version, new.algorithm, ends, new.metrics["oot_auc"], new.threshold, reason,
+                  new.metrics["oot_auc"], rival, rival_auc))
 
 
 def score_month(cycle: Cycle, month: date, features: DataFrame) -> None:
@@ -100,13 +147,15 @@ def score_month(cycle: Cycle, month: date, features: DataFrame) -> None:
         version = cycle.champion(slot, month)
         if version is None:
             raise RuntimeError(f"no live version of {slot} on {month}")
-        t = cycle.trained[version]
+        t = cycle.version(slot, version)
         scored = training.score(apps, t.model, t.features, slot, version, t.algorithm, t.threshold, cycle.policy)
         write_table(scored, cycle.path("predictions"), ["model_slot", "snapshot_date"])
     month_scores = cycle.table("predictions")
     if month_scores is not None:
         routed = routing.route(read_range(month_scores, month, month))
-        write_table(routed, cycle.path("production"), ["model_slot", "snapshot_date"], check=False)
+        if routing.routed_twice(routed).first()["n_repeated"]:
+            raise RuntimeError(f"an application of {month} would be decided twice")
+        write_table(routed, cycle.path("production"), ["model_slot", "snapshot_date"])
 
 
 def monitor_month(cycle: Cycle, month: date, features: DataFrame, labels: DataFrame) -> None:
@@ -117,11 +166,11 @@ def monitor_month(cycle: Cycle, month: date, features: DataFrame, labels: DataFr
         return
     now = read_range(predictions, month, month)
     if not now.isEmpty():
-        live = [cycle.trained[r["model_version"]] for r in now.select("model_version").distinct().collect()]
+        live = [cycle.version(*r) for r in now.select("model_slot", "model_version").distinct().orderBy("model_slot", "model_version").collect()]
         for t in live:
             own = now.where(F.col("model_version") == t.version)
-            valued = populations.with_features(own, features, t.extra["monitored"])
-            parts.append(monitoring.stability_by_slot(valued, t.reference, t.edges, t.shares, t.extra["monitored"], policy))
+            valued = populations.with_features(own, features, t.monitored)
+            parts.append(monitoring.stability_by_slot(valued, t.reference, t.edges, t.shares, t.monitored, policy))
         routed = production.where(F.col("snapshot_date").isin([month, policy.go_live]))
         parts.append(monitoring.stability_production(routed, policy).where(F.col("cohort_date") == F.lit(month)))
     cohort = F.add_months(F.lit(month), -policy.label_mob)
@@ -137,21 +186,16 @@ def monitor_month(cycle: Cycle, month: date, features: DataFrame, labels: DataFr
 
 def run(spark: SparkSession, root: str, features: DataFrame, labels: DataFrame, months: list[date], policy: Policy = Policy(),
         space: dict = training.TREE_SPACE) -> Cycle:
+    """Walk the months in order; what earlier calls left below ``root`` is read back, so single months can be run one by one."""
     cycle = Cycle(spark, root, policy, dict(space))
+    spark.createDataFrame([(json.dumps(dataclasses.asdict(policy), default=str, sort_keys=True),)], "value string").coalesce(1).write.mode("overwrite").text(cycle.path("policy"))
     for month in months:
         known = populations.labelled(features, labels, month.isoformat())
         for slot in policy.feature_sets:
             due, reason = retrain_due(cycle, slot, month, known)
             if due:
                 train_and_promote(cycle, slot, month, known, reason)
-        if cycle.rows and month >= policy.go_live:
+        if month >= policy.go_live and not cycle.recorded().isEmpty():
             score_month(cycle, month, features)
             monitor_month(cycle, month, features, labels)
     return cycle
-
-
-def write_registry(cycle: Cycle) -> None:
-    """Versions and events as tables."""
-    write_table(cycle.registry(), cycle.path("registry_versions"), ["slot"])
-    decided = registry.recorded_promotions(cycle.spark.createDataFrame(cycle.rows, VERSIONS), cycle.policy.promotion_tolerance)
-    write_table(registry.events(decided), cycle.path("registry_events"), ["slot"])

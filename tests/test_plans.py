@@ -94,17 +94,23 @@ def test_monthly_cycle(spark, sf):
     labels = tables.stored(gold_queries.labels(spark, sf), "labels")
     space = {**training.TREE_SPACE, "n_estimators": [3], "max_depth": [2]}
     policy = replace(POLICY, feature_sets={"model_2": "core"})
-    cycle = lifecycle.run(spark, root, features, labels, [date(2000, 1, 1), date(2000, 2, 1)], policy, space)
-    assert [r[2] for r in cycle.rows] == ["model_2_2000_01_01"]
-    lifecycle.write_registry(cycle)
+    first = lifecycle.run(spark, root, features, labels, [date(2000, 1, 1)], policy, space)
+    assert [r["version"] for r in first.recorded().collect()] == ["model_2_2000_01_01"]
+    # another process: nothing but the folder is shared
+    cycle = lifecycle.run(spark.newSession(), root, features, labels, [date(2000, 2, 1)], policy, space)
+    assert [r["version"] for r in cycle.recorded().collect()] == ["model_2_2000_01_01"] and list(cycle.loaded) == ["model_2_2000_01_01"]
     assert spark.read.parquet(cycle.path("registry_versions")).first()["status"] == "champion"
+    assert spark.read.parquet(cycle.path("registry_events")).first()["event"] == "promoted"
+    assert json.loads(spark.read.text(cycle.path("policy")).first()["value"])["go_live"] == "2000-01-01"
     production = spark.read.parquet(cycle.path("production"))
     assert production.count() == production.select("loan_id").distinct().count() == features.where(
         F.col("snapshot_date").isin(date(2000, 1, 1), date(2000, 2, 1))).count()
     facts = spark.read.parquet(cycle.path("monitoring"))
     assert {"n_scored", "psi_score", "clickstream_coverage"} <= {r["metric"] for r in facts.select("metric").distinct().collect()}
+    assert {r[0] for r in facts.where("metric = 'mean_score' and model_slot = 'model_2'").select(F.col("reference_value").isNotNull()).collect()} == {True}
     card = cards.read_cards(spark, cycle.path("cards")).first()
     assert card["slot"] == "model_2" and json.loads(json.dumps(card["metrics"]))["oot_auc"] is not None
-    t = cycle.trained["model_2_2000_01_01"]
-    reloaded = training.load_model(cycle.path("models"), "model_2", t.version)
-    assert training.with_score(reloaded, t.oot).agg(F.count("score")).first()[0] == t.oot.count()
+    # both months in one call give the same scores
+    whole = lifecycle.run(spark, run_folder(spark, "whole"), features, labels, [date(2000, 1, 1), date(2000, 2, 1)], policy, space)
+    scores = lambda c: {tuple(r) for r in c.table("predictions").select("loan_id", "snapshot_date", F.round("score", 9), "decision").collect()}
+    assert scores(whole) == scores(cycle)
