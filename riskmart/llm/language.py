@@ -31,7 +31,7 @@ MAX_GRAMS = 20_000
 LENGTHS = (4, 3, 2, 1)
 BACKOFF = 1.0
 SMOOTHING = 0.5
-MEMO_WORDS = 200_000
+MEMO_WORDS = 100_000
 UNKNOWN = "und"
 RESULT = "struct<lang_pred:string,score:double>"
 LETTERS = regex.compile(r"\p{L}+")

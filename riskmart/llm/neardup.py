@@ -34,10 +34,11 @@ COMMON_VALUES = 100_000
 COMMON_FROM = 8
 LIST_ROWS = 1024
 CELL_SHINGLES = 2_000_000
-MEMO_WORDS = 500_000
+MEMO_WORDS = 100_000
 CHUNK = 4096
 DIRECT_ROWS = 64
 SHORT_LIST = 12
+POST_ROWS = 1000
 
 _draw = np.random.default_rng(20_011)
 FACTORS = _draw.integers(1, 1 << 63, COORDINATES, dtype=np.uint64) | np.uint64(1)
@@ -129,11 +130,18 @@ def _value_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(_keys(_signatures(batch.column("sig"))).ravel())], names=["value"])
 
 
+def _sliced(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of at most ``rows`` rows, for steps that give many rows per row."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def _post(common, prefix: int):
     """Postings of each class under the first ``prefix`` of its values in the global order."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         values, places = common.value
-        for batch in batches:
+        for batch in _sliced(batches, POST_ROWS):
             sigs = _signatures(batch.column("sig"))
             keys = _keys(sigs)
             at = np.minimum(np.searchsorted(values, keys), max(0, len(values) - 1))

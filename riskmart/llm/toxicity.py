@@ -33,7 +33,7 @@ MAX_ENTRIES = 5000
 STARTS = (4, 5)
 NEAR = 5
 THRESHOLD = 0.7
-MEMO_WORDS = 200_000
+MEMO_WORDS = 100_000
 USES_HELD = 100_000
 TREES, DEPTH = 20, 4
 CALIBRATION_SHARE = 4
