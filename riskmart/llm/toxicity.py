@@ -10,6 +10,7 @@ isotonic regression on the rest maps their probability to the share of toxic row
 no labelled row, or one label only, the score is that share for every text. Null texts count as empty; they are scored like any other.
 """
 
+import itertools
 import math
 from collections import Counter
 from collections.abc import Iterator
@@ -49,6 +50,8 @@ FEATURES = (
     "marked", "undone_hits", "words", "word_length",
 )
 EDGE = regex.compile(r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$")
+CLOSING = ".,;:!?)\"'"
+TOKEN_FACTS = 10
 INNER = regex.compile(r"[^\p{L}]+")
 MARKED = regex.compile(r"\p{L}[^\p{L}\s'’-]+\p{L}")
 
@@ -69,54 +72,75 @@ class Lexicon:
 
 
 class Features:
-    """Dense features of texts; what is known of a token is remembered, up to a bound."""
+    """Dense features of texts; what is known of a token is remembered in the rows of a table, up to a bound."""
 
     def __init__(self, lexicon: Lexicon):
         self.lexicon = lexicon
-        self.memo: dict[str, tuple] = {}
+        self.memo: dict[str, int] = {}
+        self.known = np.zeros((0, TOKEN_FACTS), np.float32)
 
     def look(self, token: str) -> tuple:
-        """(hit, start, undone hit, letters, capitals, shouted, punctuation, exclaimed, marked)"""
-        word, lexicon = plain(token), self.lexicon
-        hit = word in lexicon.words
-        start = any(word[:n] in lexicon.starts for n in STARTS if len(word) > n)
-        marked = MARKED.search(token) is not None or (word != "" and not word.isalpha() and any(c.isalpha() for c in word))
-        bare = undone(token) if marked else ""
-        hidden = marked and not hit and (bare in lexicon.words or any(bare[:n] in lexicon.starts for n in STARTS if len(bare) > n))
-        letters = sum(c.isalpha() for c in token)
-        capitals = sum(c.isupper() for c in token)
-        signs = sum(not c.isalnum() for c in token)
-        return hit, start, hidden, letters, capitals, letters > 1 and capitals == letters, signs, token.count("!") + token.count("?"), marked
+        """(hit, start, undone hit, letters, capitals, shouted, punctuation, exclaimed, marked, second person)"""
+        lexicon = self.lexicon
+        bare = token.rstrip(CLOSING)
+        word = bare.lower()
+        if bare.isalpha() and word.isalpha():  # letters and closing signs only: no edge to cut, nothing marked
+            hidden = marked = False
+            letters, signs = len(bare), len(token) - len(bare)
+            capitals = 0 if bare.islower() else sum(map(str.isupper, bare))
+        else:
+            word = plain(token)
+            marked = MARKED.search(token) is not None or (word != "" and not word.isalpha() and any(c.isalpha() for c in word))
+            meant = undone(token) if marked else ""
+            hidden = marked and word not in lexicon.words and (meant in lexicon.words or self._starts(meant))
+            letters = sum(c.isalpha() for c in token)
+            capitals = sum(c.isupper() for c in token)
+            signs = sum(not c.isalnum() for c in token)
+        exclaimed = token.count("!") + token.count("?") if signs else 0
+        shouted = letters > 1 and capitals == letters
+        return word in lexicon.words, self._starts(word), hidden, letters, capitals, shouted, signs, exclaimed, marked, word in SECOND_PERSON
+
+    def _starts(self, word: str) -> bool:
+        starts = self.lexicon.starts
+        return any(word[:n] in starts for n in STARTS if len(word) > n)
+
+    def _rows(self, counts: Counter) -> np.ndarray:
+        """One row of facts per distinct token, in the order of ``counts``."""
+        if len(self.memo) > MEMO_WORDS:
+            self.memo, self.known = {}, self.known[:0]
+        memo = self.memo
+        new = [t for t in counts if t not in memo]
+        if new:
+            start = len(memo)
+            if start + len(new) > len(self.known):
+                grown = np.zeros((max(2 * len(self.known), start + len(new), 1024), TOKEN_FACTS), np.float32)
+                grown[:start] = self.known[:start]
+                self.known = grown
+            self.known[start:start + len(new)] = list(map(self.look, new))
+            memo.update(zip(new, range(start, start + len(new))))
+        return self.known[np.fromiter(map(memo.__getitem__, counts), np.int64, len(counts))].astype(np.float64)
 
     def __call__(self, text: str | None) -> list[float]:
         tokens = (text or "").split()
         if not tokens:
             return [0.0] * len(FEATURES)
-        if len(self.memo) > MEMO_WORDS:
-            self.memo.clear()
-        counts, memo = Counter(tokens), self.memo
-        rows = []
-        for token in counts:
-            row = memo.get(token)
-            if row is None:
-                row = memo[token] = self.look(token)
-            rows.append(row)
+        counts = Counter(tokens)
+        table = self._rows(counts)
         times = np.fromiter(counts.values(), np.float64, len(counts))
-        table = np.array(rows, np.float64)
-        hit, start, hidden, letters, capitals, shouted, signs, exclaimed, marked = times @ table
+        hit, start, hidden, letters, capitals, shouted, signs, exclaimed, marked, second = times @ table
         n, chars = len(tokens), max(1.0, letters + signs)
-        distinct = float((table[:, :3].sum(axis=1) > 0).sum())
-        near = self._near(tokens) if hit + start + hidden else 0.0
+        met = table[:, :3].any(axis=1)
+        near = self._near(tokens, *(set(itertools.compress(counts, mask.tolist())) for mask in (met, table[:, 9] > 0))) if second and met.any() else 0.0
         return [
-            hit / n, math.log1p(hit), start / n, math.log1p(start), math.log1p(distinct), near, capitals / max(1.0, letters), shouted / n, signs / chars,
+            hit / n, math.log1p(hit), start / n, math.log1p(start), math.log1p(float(met.sum())), near, capitals / max(1.0, letters), shouted / n, signs / chars,
             exclaimed / n, marked / n, math.log1p(hidden), math.log1p(n), letters / n,
         ]
 
-    def _near(self, tokens: list[str]) -> float:
+    @staticmethod
+    def _near(tokens: list[str], met: set[str], second: set[str]) -> float:
         """Share of hits with a second-person word among their neighbours."""
-        hits = [i for i, t in enumerate(tokens) if any(self.memo[t][:3])]
-        close = sum(any(plain(t) in SECOND_PERSON for t in tokens[max(0, i - NEAR):i + NEAR + 1]) for i in hits)
-        return close / len(hits)
+        hits = [i for i, t in enumerate(tokens) if t in met]
+        return sum(not second.isdisjoint(tokens[max(0, i - NEAR):i + NEAR + 1]) for i in hits) / len(hits)
 
 
 def sample(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
