@@ -67,28 +67,71 @@ class Model:
 
 
 class Scorer:
-    """Scores texts; remembers the words it has met, up to a bound."""
+    """Scores texts; remembers the scores of the words it has met in the rows of a table, up to a bound."""
 
     def __init__(self, model: Model):
         self.model = model
-        self.memo: dict[str, np.ndarray] = {}
+        width = len(model.languages)
+        self.places: dict[int, dict[str, int]] = {}
+        self.grams: dict[int, np.ndarray] = {}
+        for length in LENGTHS:
+            table = model.grams.get(length, {})
+            self.places[length] = dict(zip(table, range(len(table))))
+            self.grams[length] = np.array(list(table.values()), np.float32).reshape(len(table), width)
+        self.memo: dict[str, int] = {}
+        self.known = np.zeros((0, width), np.float32)
+
+    def _backed_off(self, words: list[str], out: np.ndarray) -> None:
+        """``Model.score_word`` of unknown words, one n-gram length after the other."""
+        left = range(len(words))
+        for down, length in enumerate(LENGTHS, 1):
+            places = self.places[length]
+            at, ends, who, rest = [], [], [], []
+            for i in left:
+                found = [p for g in grams_of(words[i], length) if (p := places.get(g)) is not None]
+                if found:
+                    ends.append(len(at))
+                    who.append(i)
+                    at += found
+                else:
+                    rest.append(i)
+            if who:
+                sums = np.add.reduceat(self.grams[length][at], ends, axis=0)
+                out[who] = sums / np.diff([*ends, len(at)])[:, None] - BACKOFF * down
+            left = rest
+
+    def _rows(self, counts: Counter) -> np.ndarray:
+        """One row of scores per distinct word, in the order of ``counts``."""
+        if len(self.memo) > MEMO_WORDS:
+            self.memo, self.known = {}, self.known[:0]
+        memo, words = self.memo, self.model.words
+        new = [w for w in counts if w not in memo]
+        if new:
+            start = len(memo)
+            if start + len(new) > len(self.known):
+                grown = np.zeros((max(2 * len(self.known), start + len(new), 1024), self.known.shape[1]), np.float32)
+                grown[:start] = self.known[:start]
+                self.known = grown
+            here = np.zeros((len(new), self.known.shape[1]), np.float32)
+            met = [i for i, w in enumerate(new) if w in words]
+            if met:
+                here[met] = [words[new[i]] for i in met]
+            unknown = [i for i, w in enumerate(new) if w not in words]
+            scores = np.zeros((len(unknown), here.shape[1]), np.float32)
+            self._backed_off([new[i] for i in unknown], scores)
+            here[unknown] = scores
+            self.known[start:start + len(new)] = here
+            memo.update(zip(new, range(start, start + len(new))))
+        return self.known[np.fromiter(map(memo.__getitem__, counts), np.int64, len(counts))]
 
     def __call__(self, text: str | None) -> tuple[str, float]:
         counts = Counter(words_of(text))
         languages = self.model.languages
         if not counts or not languages:
             return UNKNOWN, 0.0
-        if len(self.memo) > MEMO_WORDS:
-            self.memo.clear()
-        memo, score = self.memo, self.model.score_word
-        rows = []
-        for word in counts:
-            row = memo.get(word)
-            if row is None:
-                row = memo[word] = score(word)
-            rows.append(row)
+        rows = self._rows(counts)
         times = np.fromiter(counts.values(), np.float64, len(counts))
-        total = times @ np.array(rows) / math.sqrt(times.sum())
+        total = times @ rows / math.sqrt(times.sum())
         chances = np.exp(total - total.max())
         best = int(np.argmax(total))
         return languages[best], float(chances[best] / chances.sum())

@@ -181,6 +181,29 @@ def test_toxicity_of_odd_texts(spark, odd):
     assert toxicity.judge(odd.limit(0), few).collect() == []
 
 
+def test_texts_are_scored_as_their_words_are(monkeypatch):
+    """Tables of remembered words give what the words give one by one, also when they are started anew between texts."""
+    monkeypatch.setattr(language, "MEMO_WORDS", 3)
+    one = lambda *x: np.array(x, np.float32)
+    grams = {4: {"abcd": one(2, 1)}, 3: {"bcx": one(2, 0)}, 2: {"xx": one(-1, 4)}, 1: {"q": one(1, 1)}}
+    model = language.Model(["a", "b"], {"word": one(9, 8)}, grams)
+    scorer = language.Scorer(model)
+    for text in ("word abcd bcx xxx q z", "z z z word", "abcd xxx xxx new words come here", "word abcd bcx xxx q z"):
+        words = language.words_of(text)
+        total = sum(model.score_word(w).astype(float) for w in words) / np.sqrt(len(words))
+        lang, score = scorer(text)
+        assert lang == ["a", "b"][int(np.argmax(total))] and abs(score - 1 / np.exp(total - total.max()).sum()) < 1e-6
+
+
+def test_features_do_not_depend_on_what_is_remembered(monkeypatch):
+    lexicon = toxicity.Lexicon(frozenset(["idiot"]), frozenset(["lowe"]))
+    texts = ["You idiot!", "İstanbul ǅ 𝐀𝐁 x", "1d10t lowered, you LOWER?", "", "a-b (idiot) 'idiot", "Vous idiot). far from you all the while indeed idiot"]
+    alone = [toxicity.Features(lexicon)(t) for t in texts]
+    monkeypatch.setattr(toxicity, "MEMO_WORDS", 2)
+    of = toxicity.Features(lexicon)
+    assert [of(t) for t in [*texts, *texts]] == [*alone, *alone]
+
+
 def test_features():
     of = toxicity.Features(toxicity.Lexicon(frozenset(["idiot"]), frozenset(["lowe"])))
     named = dict(zip(toxicity.FEATURES, of("You IDIOT! such an 1d10t, loweiß.")))
