@@ -15,6 +15,7 @@ in markup are never text. A null or empty page has an empty text. Markup that is
 import itertools
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -36,7 +37,8 @@ ENDS = {
     "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"}), "body": ({"head"}, {"html"}),
 }
 HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
-PARAGRAPH = frozenset("p blockquote pre figure figcaption dl dt dd li ul ol table tbody thead tr td th".split())
+PARAGRAPH = frozenset("p blockquote pre figure figcaption dl dt dd li ul ol".split())
+CELL = frozenset("table tbody thead tfoot tr td th".split())
 BOX = frozenset("div section article main body html center".split())
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][\w:-]*)((?:"[^"]*"|'[^']*'|[^>"'])*)>|<[!?][^>]*>""", re.S)
@@ -131,10 +133,13 @@ class Page:
 
 def kind(tag: str) -> int:
     """Kinds of blocks that differ in how they follow their parent."""
-    return 0 if tag in HEADING else 1 if tag in PARAGRAPH else 2 if tag in ("div", "section") else 3 if tag in ("article", "main") else 4
+    return 0 if tag in HEADING else 1 if tag in PARAGRAPH else 2 if tag in ("div", "section") else 3 if tag in ("article", "main") else 5 if tag in CELL else 4
 
 
-KINDS = 5
+KINDS = 6
+#: A name met on fewer training pages says no more than any name that was never met.
+LEAST_PAGES = 3
+NEW_WORD = "word ?"
 
 
 def attribute_words(attrs: str) -> list[str]:
@@ -151,9 +156,20 @@ def look(tag: str, attrs: str) -> tuple[str, ...]:
     return (f"tag {tag}", *dict.fromkeys(f"word {w}" for w in words), *(() if words else (f"bare {tag}",)))
 
 
-def measure(chars: int, linked: int) -> tuple[str, ...]:
+def known_words(features: tuple[str, ...], known) -> list[str]:
+    """Features with one common feature in place of the words that are not known."""
+    return list(dict.fromkeys(f if f in known or not f.startswith("word ") else NEW_WORD for f in features))
+
+
+def holder(tag: str) -> str:
+    """Blocks alike in what their own text says: boxes by tag, others by kind."""
+    return tag if tag in BOX else str(kind(tag))
+
+
+def measure(of: str, chars: int, linked: int) -> tuple[str, ...]:
+    """Features of the text that a block holds itself."""
     size = "none" if chars == 0 else "short" if chars < 40 else "long"
-    return f"text {size}", "links " + ("most" if linked * 2 > chars else "few")
+    return f"text {size}", f"text {size} {of}", "links " + ("most" if linked * 2 > chars else "few")
 
 
 class Model:
@@ -163,17 +179,17 @@ class Model:
         self.own, self.pair = own, pair.tolist()
         ratio = np.exp(pair)
         self.up = ratio.tolist()
-        self.memo: dict[tuple[str, str], float] = {}
-        self.texts = {k: sum(own.get(f, 0.0) for f in measure(*k)) for k in ((0, 0), (1, 0), (1, 1), (40, 0), (40, 40))}
+        self.memo: dict[tuple[str, str], tuple[str, float]] = {}
+        self.texts = {(of, *k): sum(own.get(f, 0.0) for f in measure(of, *k)) for of in (*BOX, *map(str, range(KINDS))) for k in ((0, 0), (1, 0), (1, 1), (40, 0), (40, 40))}
 
     def potential(self, tag: str, attrs: str, chars: int, linked: int) -> float:
         known = self.memo.get((tag, attrs))
         if known is None:
             if len(self.memo) > 20_000:
                 self.memo.clear()
-            known = self.memo[tag, attrs] = sum(self.own.get(f, 0.0) for f in look(tag, attrs))
+            known = self.memo[tag, attrs] = holder(tag), sum(self.own.get(f, 0.0) for f in known_words(look(tag, attrs), self.own))
         size = 0 if chars == 0 else 1 if chars < 40 else 40
-        return known + self.texts[size, size if size and linked * 2 > chars else 0]
+        return known[1] + self.texts[known[0], size, size if size and linked * 2 > chars else 0]
 
     def marginals(self, page: Page) -> list[float]:
         """Probability of each block being content, by messages up and down the tree."""
@@ -260,9 +276,11 @@ class Forest:
 def learn(pages: list[str], rounds: int = 250, rate: float = 0.1, penalty: float = 1e-3) -> Model:
     """Maximum likelihood: the gradient is what the labels show less what sum-product expects."""
     read = [Page(html) for html in pages]
+    met = Counter(f for page in read for f in {f for t, a in zip(page.tag, page.attrs) for f in look(t, a)})
+    known = {f for f, n in met.items() if n >= LEAST_PAGES}
     names: dict[str, int] = {}
     rows = [
-        [names.setdefault(f, len(names)) for f in (*look(t, a), *measure(c, k))]
+        [names.setdefault(f, len(names)) for f in (*known_words(look(t, a), known), *measure(holder(t), c, k))]
         for page in read for t, a, c, k in zip(page.tag, page.attrs, page.chars, page.linked)
     ]
     x = np.zeros((len(rows), len(names)))
@@ -290,7 +308,11 @@ def learn(pages: list[str], rounds: int = 250, rate: float = 0.1, penalty: float
 BODIES = (
     ("article", ""), ("article", 'class="post"'), ("main", ""), ("main", 'id="main"'), ("div", 'id="content"'), ("div", 'class="article-body"'), ("div", 'class="entry content"'),
     ("section", 'class="story"'), ("div", 'class="post text"'), ("div", 'role="main"'),
+    ("article", 'class="{0}"'), ("main", 'id="{0}"'), ("article", ""), ("main", ""),
 )
+#: Places of content that no name tells: the page itself, boxes without a name or with a new one ({0}), cells of layout tables.
+OPEN = ("body", "html", "<div{1}>{2}</div>", '<div{1} class="{0}">{2}</div>', '<section{1} id="{0}">{2}</section>', '<div{1} class="{0}"><div class="{0}">{2}</div></div>', "table", "center")
+CELL_CLUTTER = ("menu", "nav", "sidebar", "ad", "ads banner", "header", "footer", "related", "advert")
 ASIDES = (
     "<nav{0}><ul><li><a href='/a'>{1}</a></li><li><a href='/b'>{2}</a></li></ul></nav>", "<header{0}><div>{1}</div><a href='/'>{2}</a></header>",
     "<footer{0}>&copy; {1} &middot; {2}</footer>", "<footer{0}><p>{1}</p><p>{2}</p></footer>", "<aside{0}><h3>{1}</h3><p>{2}</p></aside>", "<aside{0}><ul><li>{1}</li><li>{2}</li></ul></aside>",
@@ -306,8 +328,8 @@ ASIDES = (
 SOUNDS = "ba ke li mo nu ra se ti vo za".split()
 
 
-def labelled_pages(n: int = 240, seed: int = 11) -> list[str]:
-    """Training pages written from rules: one body, with other blocks before, after and within it."""
+def labelled_pages(n: int = 660, seed: int = 11) -> list[str]:
+    """Training pages written from rules: one body, named or not, with other blocks before, after and within it."""
     draw = random.Random(seed)
 
     def words(least: int, most: int) -> str:
@@ -316,20 +338,55 @@ def labelled_pages(n: int = 240, seed: int = 11) -> list[str]:
     def others(count: int, mark: str) -> str:
         return "".join(draw.choice(ASIDES).format(mark, words(1, 6), words(1, 30)) for _ in range(count))
 
-    pages = []
-    for tag, attrs in itertools.islice(itertools.cycle(BODIES), n):
+    def name() -> str:
+        return "".join(draw.choices(SOUNDS, k=4))
+
+    def content(bare: bool) -> str:
         parts = [f"<h1>{words(1, 8)}</h1>"] if draw.random() < 0.8 else []
         for _ in range(draw.randint(1, 7)):
-            parts.append(draw.choice((
+            forms = (
                 "<p>{0}</p>", "<p>{0}</p>", "<p>{0}</p>", "<p>{0}", "<p><b>{0}<br><p>{1}</p>", "<h2>{1}</h2>", "<ul><li>{1}</li><li>{0}</li></ul>", "<blockquote><p>{0}</p></blockquote>", "<div>{0}</div>",
                 "<section><h3>{1}</h3><p>{0}</p></section>", "<table><tr><td>{1}</td><td>{0}</td></tr></table>", "<div><p>{0}</p><p>{1}</p></div>", "<p><a href='/x'>{1}</a> {0}</p>", "<pre>{0}</pre>",
-            )).format(words(1, 60), words(1, 5)))
+            )
+            if bare:
+                forms += ("{0}<br>{1}", "{0}<br><br>{0}", "<div class='{2}'><p>{0}</p></div>", "<div class='{2}'>{0}</div>", "<ol><li>{0}</li></ol>", "<dl><dt>{1}</dt><dd>{0}</dd></dl>")
+            parts.append(draw.choice(forms).format(words(1, 60), words(1, 5), name()))
             if draw.random() < 0.2:
                 parts.append(others(1, ' data-main="0"'))
-        body = f'<{tag} data-main="1" {attrs}>{"".join(parts)}</{tag}>'
+        return "".join(parts)
+
+    def open_page(place: str) -> str:
+        """Content that no box names, between marked clutter."""
+        off, on = ' data-main="0"', ' data-main="1"'
+        before, after = others(draw.randint(0, 3), off), others(draw.randint(0, 3), off)
+        head = f"<head{off}><title>{words(1, 5)}</title></head>"
+        if place in ("html", "body"):
+            inner = content(True) if draw.random() < 0.7 else "<br>".join(words(5, 60) for _ in range(draw.randint(1, 4)))
+            return f"<html{on}>{head}{before}{inner}{after}" if place == "html" else f"<html>{head}<body{on}>{before}{inner}{after}</body></html>"
+        if place == "center":
+            return f"<html>{head}<body>{before}<center{on}>{content(True)}</center>{after}</body></html>"
+        if place == "table":
+            side = f"<td>{others(1, off)}</td>" if draw.random() < 0.5 else f'<td{off} class="{draw.choice(CELL_CLUTTER)}">{words(1, 20)}</td>'
+            cells = [side, f"<td>{content(True)}</td>"]
+            draw.shuffle(cells)
+            top = f"<tr><td>{others(1, off)}</td></tr>" if draw.random() < 0.5 else ""
+            return f"<html>{head}<body>{before}<table{on}>{top}<tr>{''.join(cells)}</tr></table>{after}</body></html>"
+        box = place.format(name(), on, content(True))
+        if draw.random() < 0.3:
+            box = f'<div class="{draw.choice(("wrapper", "container", "page", "site row", "layout", name()))}">{others(draw.randint(0, 1), off)}{box}{others(1, off)}</div>'
+        return f"<html>{head}<body>{before}{box}{after}</body></html>"
+
+    pages = []
+    for place in itertools.islice(itertools.cycle((*BODIES, *OPEN)), n):
+        if isinstance(place, str):
+            pages.append(open_page(place))
+            continue
+        tag, attrs = place
+        body = f'<{tag} data-main="1" {attrs.format(name())}>{content(False)}</{tag}>'
         if draw.random() < 0.3:
             body = f'<div class="{draw.choice(("wrapper", "container", "page", "site row", "layout"))}">{body}{others(1, "")}</div>'
-        pages.append(f"<html><head><title>{words(1, 5)}</title></head><body>{others(draw.randint(0, 3), '')}{body}{others(draw.randint(0, 3), '')}</body></html>")
+        page = f"{others(draw.randint(0, 3), '')}{body}{others(draw.randint(0, 3), '')}"
+        pages.append(page if draw.random() < 0.2 else f"<html><head><title>{words(1, 5)}</title></head><body>{page}</body></html>")
     return pages
 
 
