@@ -1,8 +1,8 @@
 """Packing: optimal length buckets from the global histogram, then token-budget batches inside each bucket.
 
 A document's length is its number of words. Documents longer than ``max_length`` are cut into pieces of that length and a rest, so every word is packed and
-the histogram has at most ``max_length / step`` bars however long texts get. Dynamic programming over the histogram chooses at most
-``buckets`` upper bounds (multiples of ``step``) with the least padding when each piece is padded to its bucket's bound. The cost obeys the quadrangle
+the histogram has at most ``max_length / step`` bars however long texts get: with a ``step`` of 1, one for each length. Dynamic programming over the histogram chooses at most
+``buckets`` upper bounds (multiples of ``step``, so any length by default) with the least padding when each piece is padded to its bucket's bound. The cost obeys the quadrangle
 inequality, so the best split moves one way and divide and conquer finds it.
 
 Within a bucket a batch holds as many pieces as fit the token budget at the padded length. Pieces are numbered by a hash order: they are dealt into
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from riskmart.llm.shared import stored
 
 MAX_LENGTH = 8192
-STEP = 8
+STEP = 1
 BUCKETS = 16
 BUDGET = 65_536
 SLOT_ROWS = 20_000

@@ -304,3 +304,13 @@ def test_packing_of_odd_texts(odd):
     assert set(got.doc_id.dropna()) == {2, 1, 7, 8, 9, 10} and got[got.doc_id == 7].n_words.sum() == 30_000
     assert (got.doc_id == 10).sum() == 2 and got.doc_id.isna().sum() == 1
     assert packing.pack(odd.limit(0)).collect() == []
+
+
+def test_packing_pads_as_little_as_exact_lengths_allow(spark):
+    """The bounds of pack() are the best among all lengths, not among some of them."""
+    lengths = [9] * 60 + [n for n in range(1, 120, 3) for _ in range(1 + n % 4)]
+    docs = spark.createDataFrame([(i, "w " * n) for i, n in enumerate(lengths)], "doc_id long, text string")
+    got = packing.pack(docs, buckets=4).toPandas()
+    values, counts = np.unique(lengths, return_counts=True)
+    best = min(padding(values, counts, (*c, values[-1])) for c in itertools.combinations(values[:-1].tolist(), 3))
+    assert (got.bucket - got.n_words).sum() == best
