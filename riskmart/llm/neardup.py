@@ -314,14 +314,33 @@ def candidate_edges(reps: DataFrame, rule: Rule) -> DataFrame:
     return dealt.mapInArrow(_meet(rule), "a long, b long")
 
 
+def marked(rows: DataFrame, rule: Rule) -> DataFrame:
+    """The rows with the mark of their text's set in a new last column ``set_mark``, null for an empty set."""
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + ", set_mark binary"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = Words()
+        for batch in batches:
+            sets = (shingles(t, rule.words, words) for t in batch.column("text").to_pylist())
+            marks = pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns, marks], names=[*batch.schema.names, "set_mark"])
+    return rows.mapInArrow(run, schema)
+
+
+def class_texts(docs: DataFrame, members: DataFrame, rule: Rule) -> DataFrame:
+    """``members`` (rep, doc_id, mark, root, blocks) with one text of the class each: rows repeated under an id count once, those of its other classes not."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null and text is not null")
+    own = marked(members.join(rows, "doc_id").select("rep", "mark", "root", "blocks", "text"), rule).where("mark = set_mark")
+    return own.groupBy("rep", "mark", "root", "blocks").agg(F.min("text").alias("text")).drop("mark")
+
+
 def confirmed_links(docs: DataFrame, reps: DataFrame, groups: DataFrame, rule: Rule) -> DataFrame:
     """Links (a, b) whose full sets reach the similarity; within each group no more than a spanning forest per cell."""
     spark = docs.sparkSession
-    members = groups.join(reps.select(F.col("rep").alias("id"), "n"), "id")
+    members = groups.join(reps.select(F.col("rep").alias("id"), F.col("rep").alias("doc_id"), "mark", "n"), "id")
     sums = members.groupBy("component").agg(F.ceil(F.sum("n") * 2 / CELL_SHINGLES).alias("blocks"))
-    members = stored(members.join(sums, "component").select(F.col("id").alias("rep"), F.col("component").alias("root"), "blocks"), "members")
-    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("string").alias("text")).where("rep is not null and text is not null")
-    cells = _celled(members.join(texts, "rep"), "blocks", F.xxhash64("rep"))
+    members = stored(members.join(sums, "component").select(F.col("id").alias("rep"), "doc_id", "mark", F.col("component").alias("root"), "blocks"), "members")
+    cells = _celled(class_texts(docs, members, rule), "blocks", F.xxhash64("rep"))
     dealt = cells.repartition(width(spark), "root", "x", "y").sortWithinPartitions("root", "x", "y", "rep")
     return dealt.mapInArrow(_confirm(rule), "a long, b long")
 

@@ -314,3 +314,21 @@ def test_packing_pads_as_little_as_exact_lengths_allow(spark):
     values, counts = np.unique(lengths, return_counts=True)
     best = min(padding(values, counts, (*c, values[-1])) for c in itertools.combinations(values[:-1].tolist(), 3))
     assert (got.bucket - got.n_words).sum() == best
+
+
+def test_repeats_of_an_id_are_one_text_of_their_cell(spark, monkeypatch):
+    """Rows repeated under one id, also with other white space, take part in confirming once, and other texts of the id not at all."""
+    base = [f"w{i}" for i in range(100)]
+    rows = [(1, " ".join(base))] * 40 + [(1, "  ".join(base))] * 40 + [(1, "another text of one id")] + [(2, " ".join([*base[:-1], "end"]))]
+    docs, asked, real = spark.createDataFrame(rows, "doc_id long, text string"), [], neardup.class_texts
+
+    def counted(*given):
+        out = real(*given)
+        asked.extend(out.select("rep", "text").collect())
+        return out
+    monkeypatch.setattr(neardup, "class_texts", counted)
+    got = neardup.deduplicate(docs.where("text not like 'another%'"), neardup.Rule(3, 85)).collect()
+    assert sorted((r.rep, len(r.text.split())) for r in asked) == [(1, 100), (2, 100)]
+    assert len(got) == 81 and {r.component_id for r in got} == {1} and {r.doc_id for r in got if r.kept} == {1}
+    members = spark.createDataFrame([(1, 1, r.mark, 1, 1) for r in neardup.classes(docs.where("doc_id = 1"), neardup.Rule(3, 85))[1].where("n > 50").collect()], "rep long, doc_id long, mark binary, root long, blocks long")
+    assert [len(r.text.split()) for r in real(docs, members, neardup.Rule(3, 85)).collect()] == [100]
