@@ -41,16 +41,29 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, that with the smallest id; a repeated row stays once.
+    """One document of each group of near-duplicates, that with the smallest id.
 
-    Rows without an id cannot be told apart by one and stay.
+    Rows equal in id and text are one document, of which the first by its columns written as JSON stays. Different texts under one id are documents of
+    their own, ordered by id and digest of the text. Rows without an id cannot be told apart by one and stay.
     """
-    decided = stored(neardup.deduplicate(docs, neardup.Rule()).where("doc_id is not null").select("doc_id", "kept"), "decided")
-    gone = stored(decided.where(~F.col("kept")).select("doc_id").distinct(), "gone")
-    left = docs.join(gone, "doc_id", "left_anti").select(*_columns(docs))
-    if decided.groupBy("doc_id").count().where("count > 1").isEmpty():
-        return left
-    return left.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(left.where("doc_id is null"))
+    known = docs.where("doc_id is not null")
+    if known.groupBy("doc_id").count().where("count > 1").isEmpty():
+        return _single(docs, "doc_id").select(*_columns(docs))
+    number, digest = free_name(docs, "_number"), free_name(docs, "_digest")
+    rows = known.withColumn(digest, F.coalesce(F.sha2(F.col("text").cast("string").cast("binary"), 256), F.lit("")))
+    # numbers of a sorted table rise with its order, so the smallest number of a group has its smallest id
+    numbers = stored(rows.select("doc_id", digest).distinct().orderBy("doc_id", digest).withColumn(number, F.monotonically_increasing_id()), "numbers")
+    left = _single(rows.join(numbers, ["doc_id", digest]), number)
+    row = F.struct(*_columns(docs))
+    once = left.groupBy(number).agg(F.min_by(row, F.to_json(row)).alias("row")).select("row.*")
+    return once.unionByName(docs.where("doc_id is null"))
+
+
+def _single(docs: DataFrame, number: str) -> DataFrame:
+    """Rows but those of documents, told apart by ``number``, that are near-duplicates of one with a smaller number."""
+    judged = neardup.deduplicate(docs.select(F.col(number).alias("doc_id"), "text"), neardup.Rule())
+    gone = stored(judged.where("doc_id is not null and not kept").select(F.col("doc_id").alias(number)).distinct(), "gone")
+    return docs.join(gone, number, "left_anti")
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

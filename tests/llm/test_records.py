@@ -256,3 +256,14 @@ def test_open_pages_keep_their_text(model):
         got = model.extract(labelled.replace(' data-main="1"', "").replace(' data-main="0"', ""))
         wanted, lost, kept = wanted + len(want), lost + max(0, len(want) - len(got)), kept + max(0, len(got) - len(want))
     assert lost <= 0.02 * wanted and kept <= 0.02 * wanted
+
+
+def test_near_duplicate_stage_with_clashing_ids(spark):
+    """Two texts share an id: only the near copy goes, the unique text and the repeated row stay once."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(1, a, "s"), (5, a + " end", "s"), (5, b, "s"), (7, c, "t"), (7, c, "s"), (7, c, "s"), (9, b + " end", "s"), (8, None, "s"), (8, "", "s"), (None, a, "s"), (None, a, "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = corpus_pipeline.near_duplicate_stage(spark, docs, "")
+    assert got.columns == docs.columns
+    want = [(1, a, "s"), (5, b, "s"), (7, c, "s"), (8, None, "s"), (8, "", "s"), (None, a, "s"), (None, a, "s")]
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
