@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from riskmart.llm import language, neardup, packing, toxicity
 from riskmart.llm.shared import free_name, stored, table
 
-LEAST_LANGUAGE_SCORE = 0.3
+#: Share of words met in learning, whole or in an n-gram of three letters or more; it does not depend on the number of languages.
+LEAST_MET = 0.5
 
 
 def _columns(docs: DataFrame) -> list:
@@ -27,7 +28,7 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that was learned and is clearly ahead of the others; those without a letter go.
+    """Documents of whose words at least half were met in the learned languages; those without a letter go.
 
     Where no document says what language it is in, all with a letter stay.
     """
@@ -36,7 +37,7 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
         return docs.where(F.col("text").rlike(r"\p{L}"))
     found = free_name(docs, "_found")
     judged = docs.withColumn(found, language.predicted(model, docs))
-    sure = (F.col(f"{found}.lang_pred") != language.UNKNOWN) & (F.col(f"{found}.score") >= LEAST_LANGUAGE_SCORE)
+    sure = (F.col(f"{found}.lang_pred") != language.UNKNOWN) & (F.col(f"{found}.met") >= LEAST_MET)
     return judged.where(sure).select(*_columns(docs))
 
 

@@ -33,7 +33,9 @@ BACKOFF = 1.0
 SMOOTHING = 0.5
 MEMO_WORDS = 100_000
 UNKNOWN = "und"
-RESULT = "struct<lang_pred:string,score:double>"
+RESULT = "struct<lang_pred:string,score:double,met:double>"
+#: An n-gram of this length or longer tells that a word may belong to a learned language.
+TELLING = 3
 LETTERS = regex.compile(r"\p{L}+")
 
 
@@ -79,7 +81,8 @@ class Scorer:
             self.places[length] = dict(zip(table, range(len(table))))
             self.grams[length] = np.array(list(table.values()), np.float32).reshape(len(table), width)
         self.memo: dict[str, int] = {}
-        self.known = np.zeros((0, width), np.float32)
+        # the last column tells whether the word, or a long n-gram of it, was met in learning
+        self.known = np.zeros((0, width + 1), np.float32)
 
     def _backed_off(self, words: list[str], out: np.ndarray) -> None:
         """``Model.score_word`` of unknown words, one n-gram length after the other."""
@@ -97,7 +100,8 @@ class Scorer:
                     rest.append(i)
             if who:
                 sums = np.add.reduceat(self.grams[length][at], ends, axis=0)
-                out[who] = sums / np.diff([*ends, len(at)])[:, None] - BACKOFF * down
+                out[who, :-1] = sums / np.diff([*ends, len(at)])[:, None] - BACKOFF * down
+                out[who, -1] = length >= TELLING
             left = rest
 
     def _rows(self, counts: Counter) -> np.ndarray:
@@ -115,7 +119,8 @@ class Scorer:
             here = np.zeros((len(new), self.known.shape[1]), np.float32)
             met = [i for i, w in enumerate(new) if w in words]
             if met:
-                here[met] = [words[new[i]] for i in met]
+                here[met, :-1] = [words[new[i]] for i in met]
+                here[met, -1] = 1
             unknown = [i for i, w in enumerate(new) if w not in words]
             scores = np.zeros((len(unknown), here.shape[1]), np.float32)
             self._backed_off([new[i] for i in unknown], scores)
@@ -125,16 +130,21 @@ class Scorer:
         return self.known[np.fromiter(map(memo.__getitem__, counts), np.int64, len(counts))]
 
     def __call__(self, text: str | None) -> tuple[str, float]:
+        return self.judge(text)[:2]
+
+    def judge(self, text: str | None) -> tuple[str, float, float]:
+        """Language, its score, and the share of words that learning has met, whole or in a long n-gram."""
         counts = Counter(words_of(text))
         languages = self.model.languages
         if not counts or not languages:
-            return UNKNOWN, 0.0
+            return UNKNOWN, 0.0, 0.0
         rows = self._rows(counts)
         times = np.fromiter(counts.values(), np.float64, len(counts))
-        total = times @ rows / math.sqrt(times.sum())
+        sums = times @ rows
+        total = sums[:-1] / math.sqrt(times.sum())
         chances = np.exp(total - total.max())
         best = int(np.argmax(total))
-        return languages[best], float(chances[best] / chances.sum())
+        return languages[best], float(chances[best] / chances.sum()), float(sums[-1] / times.sum())
 
 
 def learnable(docs: DataFrame) -> DataFrame:
@@ -190,7 +200,7 @@ def learn(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
 
 
 def predicted(model: Model, docs: DataFrame, text: str = "text") -> Column:
-    """Struct column (lang_pred, score) for a text column of the frame."""
+    """Struct column (lang_pred, score, met) for a text column of the frame."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     small_batches(docs.sparkSession)
 
@@ -198,7 +208,7 @@ def predicted(model: Model, docs: DataFrame, text: str = "text") -> Column:
     def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         scorer = Scorer(shared.value)
         for texts in batches:
-            yield pd.DataFrame([scorer(t) for t in texts], columns=["lang_pred", "score"])
+            yield pd.DataFrame([scorer.judge(t) for t in texts], columns=["lang_pred", "score", "met"])
     return judge(F.col(text).cast("string"))
 
 

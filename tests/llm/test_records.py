@@ -267,3 +267,13 @@ def test_near_duplicate_stage_with_clashing_ids(spark):
     assert got.columns == docs.columns
     want = [(1, a, "s"), (5, b, "s"), (7, c, "s"), (8, None, "s"), (8, "", "s"), (None, a, "s"), (None, a, "s")]
     assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
+
+
+def test_language_stage_by_what_was_met(spark, sf):
+    """With two languages a script that was never learned goes; short clean texts stay, also where many languages share them."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").where("lang in ('en', 'de')").select("doc_id", "text", "lang")
+    odd = spark.createDataFrame([(-1, "\u03b1\u03b2\u03b3 \u03b4\u03b5\u03b6 \u03b7\u03b8", None), (-2, "12 34", None)], docs.schema)
+    kept = {r.doc_id for r in corpus_pipeline.language_stage(spark, docs.unionByName(odd), sf).collect()}
+    assert not kept & {-1, -2} and len(kept) >= 0.99 * docs.count()
+    many = spark.createDataFrame([(i, "one short clean text", f"l{i % 30}") for i in range(300)], docs.schema)
+    assert corpus_pipeline.language_stage(spark, many, sf).count() == 300
