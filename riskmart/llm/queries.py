@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskmart.llm import bpe, fingerprint, html, language, neardup, packing, tools, topk, toxicity, urls
+from riskmart.llm import align, bpe, fingerprint, html, language, neardup, neighbours, packing, tools, topk, toxicity, urls, variants
 from riskmart.llm.shared import table
 
 RULES = [urls.Rule.read(*r) for r in (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))]
@@ -168,3 +168,52 @@ def toxic(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_main_text")
 def main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages"))
+
+
+@query("op11_alignment")
+def alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left, right = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return align.align(table(spark, sf_dir, "documents"), left, right, digest=True).withColumnRenamed("groups", "groups_sha256")
+
+
+@query("op12_variants", r"""
+with recursive checks as (
+  select list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k: case when c % 2 = 1 then xor(c // 2, 3988292384) else c // 2 end, i)) as t
+), runs as (
+  select doc_id, run, count(*) as n
+  from (select doc_id, unnest(regexp_extract_all(translate("text", 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]{6,}')) as run from documents)
+  group by doc_id, run
+), marked as (
+  select run, n, xor(list_reduce(
+    flatten(list_transform(string_split(doc_id || ':' || run, ''), lambda c: case when unicode(c) < 128 then [unicode(c)::bigint] else [192 + unicode(c)::bigint // 64, 128 + unicode(c)::bigint % 64] end)),
+    lambda c, b: xor(c // 256, t[xor(c, b) % 256 + 1]), 4294967295), 4294967295) as h
+  from runs, checks
+), words as (
+  select word, cast(sum(n) as bigint) as n
+  from (select case when h % 199 = 0 then substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) else run end as word, n from marked)
+  where length(word) >= 6 group by word having sum(n) >= 5
+), cut as (
+  select word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) as rest from (select word, n, unnest(range(1, length(word) + 1)) as i from words)
+), near as (
+  select c.word, w.word as other, w.n from cut c join words w on c.rest = w.word
+  union select w.word, c.word, c.n from cut c join words w on c.rest = w.word
+  union select a.word, b.word, b.n from cut a join cut b on a.rest = b.rest and a.i = b.i and a.word <> b.word
+), best as (
+  select word, count(*) as n_near, min(struct_pack(n := -n, other := other)) as top from near group by word
+), judged as (
+  select w.word, w.n, coalesce(n_near, 0) as n_near, case when -top.n >= 5 * w.n then top.other end as form, case when -top.n >= 5 * w.n then -top.n end as form_n
+  from words w left join best using (word)
+), path as (
+  select word, word as at, 0 as steps from judged
+  union all select path.word, judged.form, steps + 1 from path join judged on judged.word = path.at where judged.form is not null
+)
+select word, form, root, n, n_near, form_n
+from judged join (select word, max_by("at", steps) as root from path group by word) using (word)
+""")
+def spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling_variants(table(spark, sf_dir, "documents"), letters=6, least=5, factor=5, every=199)
+
+
+@query("op13_neighbours")
+def approximate_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), k=5, every=50)
