@@ -90,6 +90,8 @@ class Policy:
     cv_folds: int = 3
     seed: int = 88
     search_draws: int = 20
+    # most labelled rows that a fit of boosted trees takes; logistic regression takes all
+    fit_rows: int = 100_000
     tie_tolerance: float = 0.005
     promotion_tolerance: float = 0.0
     top_features_monitored: int = 10

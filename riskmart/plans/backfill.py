@@ -29,9 +29,9 @@ def bronze_and_silver(spark: SparkSession, sources: dict, root: str, policy: Pol
         source = raw.require_columns(raw.read_raw(spark, path), REQUIRED_COLUMNS[table], path)
         bronze = os.path.join(root, "bronze", table)
         raw.ingest(source, bronze, start, end)
-        rows = raw.read_bronze(spark, bronze, source.schema, start, end)
+        rows = raw.read_bronze(spark, bronze, start, end)
         # bronze is read by month; only deduplicated clicks are dealt otherwise
-        write_table(SILVER[table](rows), os.path.join(root, "silver", table), ["snapshot_date"], rebalance=table == "clickstream", within=(start, end))
+        write_table(SILVER[table](rows), os.path.join(root, "silver", table), ["snapshot_date"], rebalance=table == "clickstream", within={"snapshot_date": (start, end)})
 
 
 def silver(spark: SparkSession, root: str, table: str, first=None, last=None) -> DataFrame:
@@ -42,13 +42,13 @@ def gold_stores(spark: SparkSession, root: str, policy: Policy, first=None, last
     """Labels, and features of the months in the range; clickstream is read from its start, as averages go back."""
     start, end = window(policy, "label_store", first, last)
     labels = gold.labels(silver(spark, root, "loan_daily", start, end), policy.label_dpd, policy.label_mob)
-    write_table(labels, os.path.join(root, "gold", "label_store"), ["snapshot_date"], rebalance=False, within=(start, end))
+    write_table(labels, os.path.join(root, "gold", "label_store"), ["snapshot_date"], rebalance=False, within={"snapshot_date": (start, end)})
     start, end = window(policy, "feature_store", first, last)
     features = gold.features(
         silver(spark, root, "loan_daily", start, end), silver(spark, root, "attributes", start, end),
         silver(spark, root, "financials", start, end), silver(spark, root, "clickstream", None, end), CLICK_COLUMNS, run_month=True,
     )
-    write_table(features, os.path.join(root, "gold", "feature_store"), ["run_month"], check=False, within=(start, end))
+    write_table(features, os.path.join(root, "gold", "feature_store"), ["run_month"], within={"run_month": (start, end)})
 
 
 def stores(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:

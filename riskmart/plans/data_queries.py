@@ -102,9 +102,9 @@ def monthly_rebuild(spark, sf):
     path = run_folder(spark, "applications")
     unread = F.when(F.col("loan_id").cast("long") % 50 == 1, F.lit("n/a")).otherwise(F.col("installment_num").cast("string"))
     apps = gold.applications(conform.loan_daily(view(spark, sf, "v_loan_daily").withColumn("installment_num", unread)))
-    tables.write_table(apps, path, ["run_month"], within=("1990-01-01", "2010-01-01"))
+    tables.write_table(apps, path, ["run_month"], within={"run_month": ("1990-01-01", "2010-01-01")})
     again = apps.where("run_month = date '1996-04-01'")
-    tables.write_table(again, path, ["run_month"], within=("1996-04-01", "1996-05-01"))
+    tables.write_table(again, path, ["run_month"], within={"run_month": ("1996-04-01", "1996-05-01")})
     return tables.read_table(spark, path).groupBy("run_month", "snapshot_date").agg(F.count("*").alias("n_rows"))
 
 

@@ -12,16 +12,16 @@ import json
 import os
 from dataclasses import dataclass, field
 from datetime import date
+from functools import reduce
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskmart.config import Policy
-from riskmart.operators import monitoring, populations, registry, routing, training
+from riskmart.operators import models, monitoring, populations, registry, routing, training
 from riskmart.operators.splits import months_of
-from riskmart.sources import cards
-from riskmart.sources.tables import read_range, write_table
+from riskmart.sources import cards, decisions
+from riskmart.sources.tables import exists, read_range, read_table, write_table
 
 VERSIONS = (
     "slot string, trained_on date, version string, algorithm string, data_end date, oot_auc double, threshold double,"
@@ -37,7 +37,7 @@ class Live:
     slot: str
     version: str
     algorithm: str
-    model: PipelineModel
+    model: models.Fitted
     features: list
     threshold: float
     monitored: list
@@ -60,24 +60,19 @@ class Cycle:
         return os.path.join(self.root, *parts)
 
     def table(self, name: str) -> DataFrame | None:
-        try:
-            return self.spark.read.parquet(self.path(name))
-        except Exception as e:  # a table not written yet
-            if "PATH_NOT_FOUND" in str(e):
-                return None
-            raise
+        """A table of the deployment; None before its first row."""
+        return read_table(self.spark, self.path(name)) if exists(self.spark, self.path(name)) else None
 
     def recorded(self) -> DataFrame:
         """All training runs so far, one row per slot and run month."""
-        found = self.table("registry_runs")
-        return self.spark.createDataFrame([], VERSIONS) if found is None else found.select(*NAMES)
+        return decisions.latest(self.spark, self.root, VERSIONS)
 
     def record(self, row: tuple) -> None:
-        """Add a run, or replace that of the same slot and month, and write the tables that follow from all runs."""
-        runs = registry.upsert(self.recorded(), self.spark.createDataFrame([row], VERSIONS), ["slot", "trained_on"])
-        # held while the table they were read from is replaced; a row per slot and run month
-        runs = self.spark.createDataFrame([tuple(r) for r in runs.select(*NAMES).collect()], VERSIONS)
-        write_table(runs, self.path("registry_runs"), ["slot"])
+        """Add a run, which then counts for its slot and month, and write the tables that follow from all runs.
+
+        The log alone is read back; the tables are for other readers and are whole again with the next run if writing them breaks off.
+        """
+        decisions.append(self.spark, self.root, row[0], row[1], dict(zip(NAMES, row)))
         write_table(self.registry(), self.path("registry_versions"), ["slot"])
         write_table(registry.events(self.decided()), self.path("registry_events"), ["slot"])
 
@@ -99,7 +94,7 @@ class Cycle:
             edges, shares, reference = (
                 self.table(t).where((F.col("model_slot") == slot) & (F.col("model_version") == name)) for t in PROFILE)
             monitored = [r["variable"] for r in shares.where("variable <> 'score'").select("variable").distinct().orderBy("variable").collect()]
-            model = training.load_model(self.path("models"), slot, name)
+            model = models.load(self.spark, self.path("models"), slot, name)
             self.loaded[name] = Live(slot, name, card["algorithm"], model, card["features"], card["decision_threshold"], monitored, reference, edges, shares)
         return self.loaded[name]
 
@@ -128,7 +123,7 @@ def train_and_promote(cycle: Cycle, slot: str, month: date, known: DataFrame, re
     rival = cycle.champion(slot, month, strictly_before=True)
     rival_auc = training.auc_of(cycle.version(slot, rival).model, new.oot) if rival else None
     ends = months_of(new.oot, []).first()["months"][-1]
-    training.save_model(new.model, cycle.path("models"), slot, new.version)
+    models.save(cycle.spark, new.model, cycle.path("models"), slot, new.version)
     cards.write_cards(new.card(cycle.spark, reason), cycle.path("cards"))
     for name, rows in zip(PROFILE, (new.edges, new.shares, new.reference)):
         write_table(rows, cycle.path(name), ["model_slot", "model_version"])
@@ -139,49 +134,70 @@ def train_and_promote(cycle: Cycle, slot: str, month: date, known: DataFrame, re
 
 
 def score_month(cycle: Cycle, month: date, features: DataFrame) -> None:
-    """Predictions of the live versions and the routed decisions of one month."""
-    apps = read_range(features, month, month, "run_month" if "run_month" in features.columns else "snapshot_date")
-    for slot, kind in cycle.policy.feature_sets.items():
-        if populations.slot_population(apps, kind).isEmpty():
-            continue
+    """Predictions of the live versions and the routed decisions of one run month, in place of those it had.
+
+    A month is what was run in it: rows that start in another month belong to it too, and that other month keeps its own. One scan scores all slots; a slot without
+    applicants has no rows, also if it had some before.
+    """
+    spark, policy = cycle.spark, cycle.policy
+    apps = read_range(by_run_month(features), month, month, "run_month")
+    live = {}
+    for slot, kind in policy.feature_sets.items():
         version = cycle.champion(slot, month)
-        if version is None:
+        if version is not None:
+            live[slot] = cycle.version(slot, version)
+        elif not populations.slot_population(apps, kind).isEmpty():
             raise RuntimeError(f"no live version of {slot} on {month}")
-        t = cycle.version(slot, version)
-        scored = training.score(apps, t.model, t.features, slot, version, t.algorithm, t.threshold, cycle.policy)
-        write_table(scored, cycle.path("predictions"), ["model_slot", "snapshot_date"])
-    month_scores = cycle.table("predictions")
-    if month_scores is not None:
-        routed = routing.route(read_range(month_scores, month, month))
-        if routing.routed_twice(routed).first()["n_repeated"]:
-            raise RuntimeError(f"an application of {month} would be decided twice")
-        write_table(routed, cycle.path("production"), ["model_slot", "snapshot_date"])
+    versions = spark.createDataFrame(
+        [(slot, month, t.version, t.algorithm, t.threshold) for slot, t in live.items()],
+        "model_slot string, run_month date, model_version string, algorithm string, threshold double")
+    scored = training.score(apps, versions, {t.version: t.model for t in live.values()}, policy, "run_month")
+    only = {"run_month": (month, month)}
+    write_table(scored, cycle.path("predictions"), ["run_month", "model_slot"], within=only)
+    routed = routing.route(read_range(cycle.table("predictions"), month, month, "run_month"))
+    if routing.routed_twice(routed).first()["n_repeated"]:
+        raise RuntimeError(f"an application of {month} would be decided twice")
+    write_table(routed, cycle.path("production"), ["run_month"], within=only)
+
+
+def by_run_month(features: DataFrame) -> DataFrame:
+    """Features with their run month; without one it is the month in which the loan starts."""
+    return features if "run_month" in features.columns else features.withColumn("run_month", F.col("snapshot_date"))
+
+
+def cohort_rows(scored: DataFrame, *months) -> DataFrame:
+    """Scored rows of run months, which are their cohorts."""
+    return scored.where(F.col("run_month").isin([*months])).withColumn("snapshot_date", F.col("run_month"))
 
 
 def monitor_month(cycle: Cycle, month: date, features: DataFrame, labels: DataFrame) -> None:
-    """Stability of the month's scores and performance of the cohort whose labels mature this month."""
+    """Stability of the month's scores and performance of the cohort whose labels mature this month; both by run month."""
     policy, parts = cycle.policy, []
     predictions, production = cycle.table("predictions"), cycle.table("production")
     if predictions is None:
         return
-    now = read_range(predictions, month, month)
+    now = cohort_rows(predictions, month)
     if not now.isEmpty():
         live = [cycle.version(*r) for r in now.select("model_slot", "model_version").distinct().orderBy("model_slot", "model_version").collect()]
+        own_features = cohort_rows(by_run_month(features), month)
         for t in live:
             own = now.where(F.col("model_version") == t.version)
-            valued = populations.with_features(own, features, t.monitored)
+            valued = populations.with_features(own, own_features, t.monitored)
             parts.append(monitoring.stability_by_slot(valued, t.reference, t.edges, t.shares, t.monitored, policy))
-        routed = production.where(F.col("snapshot_date").isin([month, policy.go_live]))
+        routed = cohort_rows(production, month, policy.go_live)
         parts.append(monitoring.stability_production(routed, policy).where(F.col("cohort_date") == F.lit(month)))
-    cohort = F.add_months(F.lit(month), -policy.label_mob)
+    cohort = month_before(month, policy.label_mob)
     mature = read_range(labels, month, month)
     oot = cycle.registry().select(F.col("slot").alias("model_slot"), F.col("version").alias("model_version"), "oot_auc")
-    by_slot = populations.matured_cohort(predictions.where(F.col("snapshot_date") == cohort), mature, policy.label_mob, policy.go_live)
-    pooled = populations.matured_cohort(production.where(F.col("snapshot_date") == cohort), mature, policy.label_mob, policy.go_live)
+    by_slot = populations.matured_cohort(cohort_rows(predictions, cohort), mature, policy.label_mob, policy.go_live)
+    pooled = populations.matured_cohort(cohort_rows(production, cohort), mature, policy.label_mob, policy.go_live)
     parts += [monitoring.performance_by_slot(by_slot, oot, policy), monitoring.performance_of_production(pooled, oot, policy)]
-    for i, p in enumerate(parts[1:]):
-        parts[0] = parts[0].unionByName(p)
-    write_table(parts[0], cycle.path("monitoring"), ["monitoring_date"], check=False)
+    write_table(reduce(DataFrame.unionByName, parts), cycle.path("monitoring"), ["monitoring_date"], within={"monitoring_date": (month, month)})
+
+
+def month_before(month: date, months: int) -> date:
+    place = month.year * 12 + month.month - 1 - months
+    return date(place // 12, place % 12 + 1, 1)
 
 
 def run(spark: SparkSession, root: str, features: DataFrame, labels: DataFrame, months: list[date], policy: Policy = Policy(),

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -40,6 +42,21 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Before Python code runs in tasks: send this package to the executors, once per application, unless they find it by themselves."""
+    package = Path(__file__).resolve().parent
+    context, name = spark.sparkContext, f"{package.name}.zip"
+    places = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
+    if str(package.parent) in places or any(Path(f).name == name for f in context.listFiles):
+        return
+    # the code itself, not data; the context hands it on from the driver
+    path = os.path.join(tempfile.mkdtemp(), name)
+    with zipfile.ZipFile(path, "w") as packed:
+        for source in package.rglob("*.py"):
+            packed.write(source, source.relative_to(package.parent))
+    context.addPyFile(path)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share, as the cluster names it."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()

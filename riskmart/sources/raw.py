@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskmart import config as C
-from riskmart.sources.tables import write_table
+from riskmart.sources.tables import read_table, write_table
 
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
@@ -26,12 +26,12 @@ def ingest(raw: DataFrame, path: str, first: str | None = None, last: str | None
     if last:
         wanted &= month <= last
     write_table(raw.where(wanted), path, ["snapshot_date"])
-    return month_counts(read_bronze(raw.sparkSession, path, raw.schema, first, last))
+    return month_counts(read_bronze(raw.sparkSession, path, first, last))
 
 
-def read_bronze(spark: SparkSession, path: str, schema, first: str | None = None, last: str | None = None) -> DataFrame:
-    """Bronze partitions in a month range; the schema keeps the month a string."""
-    df = spark.read.schema(schema).parquet(path)
+def read_bronze(spark: SparkSession, path: str, first: str | None = None, last: str | None = None) -> DataFrame:
+    """Bronze partitions in a month range; the month is a string."""
+    df = read_table(spark, path)
     if first:
         df = df.where(F.col("snapshot_date") >= first)
     if last:

@@ -1,83 +1,27 @@
-"""The registered training queries run the policy's whole search: every draw and fold, both algorithms, both slots."""
-
-import functools
+"""The policy's whole search runs, and the training queries return what their SQL says."""
 
+import check
 import pytest
-from pyspark.sql import functions as F
 
 from riskmart.config import Policy
 from riskmart.operators import training
+from riskmart.plans import catalog
 from riskmart.plans import lifecycle_queries as lq
 
-BOTH = {"model_1", "model_2"}
-ALGORITHMS = {training.LOGISTIC, training.TREES}
-
-
-class Asked(Exception):
-    pass
-
-
-@pytest.fixture
-def searches(spark, monkeypatch):
-    """Searches asked for, none of them run: (features with clicks or not, algorithm, draws, folds, tree space)."""
-    seen = []
-
-    def search(train, algorithm, features, policy, space=training.TREE_SPACE, parallelism=4):
-        seen.append(("clickstream_months_observed" in features, algorithm, policy.search_draws, policy.cv_folds, space))
-        options = training.draws(algorithm, policy.search_draws, policy.seed, space)
-        return [{"draw": d, "params": p, "cv_auc": d / 100} for d, p in enumerate(options)]
-    monkeypatch.setattr(training, "search", search)
-    return seen
-
-
-def wanted(algorithms):
-    policy = Policy()
-    return [(clicks, a, policy.search_draws, policy.cv_folds, training.TREE_SPACE) for clicks in (True, False) for a in algorithms]
-
-
-def test_search_results_cover_slots_algorithms_and_draws(spark, sf, searches):
-    got = lq.search_results(spark, sf).groupBy("slot", "algorithm").agg(F.countDistinct("draw").alias("n")).collect()
-    assert {(r.slot, r.algorithm): r.n for r in got} == {(s, a): Policy().search_draws for s in BOTH for a in ALGORITHMS}
-    assert searches == wanted([training.LOGISTIC, training.TREES])
-
-
-@pytest.mark.parametrize("name", ["train_logistic", "batch_score"])
-def test_logistic_queries_fit_the_best_draw_of_both_slots(spark, sf, searches, monkeypatch, name):
-    fitted, pipeline = [], training.pipeline
-
-    def remember(algorithm, params, *rest):
-        fitted.append(params)
-        return pipeline(algorithm, params, *rest)
-    monkeypatch.setattr(training, "pipeline", remember)
-    got = getattr(lq, name)(spark, sf).collect()
-    assert {r["slot" if name == "train_logistic" else "model_slot"] for r in got} == BOTH
-    assert searches == wanted([training.LOGISTIC])
-    assert fitted == [training.draws(training.LOGISTIC, 20, Policy().seed)[-1]] * 2
-
-
-@pytest.mark.parametrize("name", ["train_boosted_trees", "feature_importance"])
-def test_tree_queries_fit_the_best_draw_of_both_slots(spark, sf, searches, monkeypatch, name):
-    fitted, pipeline = [], training.pipeline
-
-    def small(algorithm, params, *rest):
-        fitted.append(params)
-        return pipeline(algorithm, {**params, "n_estimators": 2}, *rest)  # for the test's time; the query's own draw is checked below
-    monkeypatch.setattr(training, "pipeline", small)
-    assert {r["slot"] for r in getattr(lq, name)(spark, sf).collect()} == BOTH
-    assert searches == wanted([training.TREES])
-    assert fitted == [training.draws(training.TREES, 20, Policy().seed)[-1]] * 2
 
+def test_the_whole_search_of_a_slot(spark, sf):
+    """All draws, folds and sizes of the policy, both algorithms."""
+    slot, data, columns = lq.prepared_slots(spark, sf)[1]
+    train = data.where("role = 'train'")
+    for algorithm in (training.LOGISTIC, training.TREES):
+        tried = training.search(train, algorithm, columns, Policy())
+        assert [t["params"] for t in tried] == training.draws(algorithm, Policy().search_draws, Policy().seed)
+        assert all(set(t["fold_aucs"]) == {1, 2, 3} for t in tried)
 
-def test_train_slot_trains_both_slots_by_the_policy(spark, sf, monkeypatch):
-    asked = []
 
-    @functools.wraps(training.train_slot)
-    def train(known, slot, run_date, policy, space=training.TREE_SPACE):
-        asked.append((slot, policy, space))
-        if len(asked) == 2:
-            raise Asked
-        return None
-    monkeypatch.setattr(training, "train_slot", train)
-    with pytest.raises(Asked):
-        lq.train_slot(spark, sf)
-    assert asked == [(slot, Policy(), training.TREE_SPACE) for slot in ("model_1", "model_2")]
+@pytest.mark.parametrize("name", ["train_logistic", "train_boosted_trees", "feature_importance", "batch_score"])
+def test_query_and_sql(spark, name):
+    # 0.01: the smallest tables have too few applicants with clicks
+    folder = "/root/testdata/sf0.01"
+    message, *_ = check.compare(spark, check.connect(folder), name, catalog.all_queries()[name], catalog.all_oracles()[name], folder)
+    assert message is None

@@ -99,13 +99,13 @@ def test_monthly_cycle(spark, sf):
     # another process: nothing but the folder is shared
     cycle = lifecycle.run(spark.newSession(), root, features, labels, [date(2000, 2, 1)], policy, space)
     assert [r["version"] for r in cycle.recorded().collect()] == ["model_2_2000_01_01"] and list(cycle.loaded) == ["model_2_2000_01_01"]
-    assert spark.read.parquet(cycle.path("registry_versions")).first()["status"] == "champion"
-    assert spark.read.parquet(cycle.path("registry_events")).first()["event"] == "promoted"
+    assert cycle.table("registry_versions").first()["status"] == "champion"
+    assert cycle.table("registry_events").first()["event"] == "promoted"
     assert json.loads(spark.read.text(cycle.path("policy")).first()["value"])["go_live"] == "2000-01-01"
-    production = spark.read.parquet(cycle.path("production"))
+    production = cycle.table("production")
     assert production.count() == production.select("loan_id").distinct().count() == features.where(
         F.col("snapshot_date").isin(date(2000, 1, 1), date(2000, 2, 1))).count()
-    facts = spark.read.parquet(cycle.path("monitoring"))
+    facts = cycle.table("monitoring")
     assert {"n_scored", "psi_score", "clickstream_coverage"} <= {r["metric"] for r in facts.select("metric").distinct().collect()}
     assert {r[0] for r in facts.where("metric = 'mean_score' and model_slot = 'model_2'").select(F.col("reference_value").isNotNull()).collect()} == {True}
     card = cards.read_cards(spark, cycle.path("cards")).first()
