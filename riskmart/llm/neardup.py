@@ -21,6 +21,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -39,6 +40,7 @@ CHUNK = 4096
 DIRECT_ROWS = 64
 SHORT_LIST = 12
 POST_ROWS = 1000
+FILTER_BITS = 1 << 26
 
 _draw = np.random.default_rng(20_011)
 FACTORS = _draw.integers(1, 1 << 63, COORDINATES, dtype=np.uint64) | np.uint64(1)
@@ -138,7 +140,7 @@ def _sliced(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordB
 
 
 def _post(common, prefix: int):
-    """Postings of each class under the first ``prefix`` of its values in the global order."""
+    """Postings of each class under the first ``prefix`` of its values in the global order; ``blocks`` by the counts of common values."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         values, places = common.value
         for batch in _sliced(batches, POST_ROWS):
@@ -149,13 +151,14 @@ def _post(common, prefix: int):
             # a common value stands after all others, by its frequency; the others stand in the order of their hashes
             late = np.where(known, places[at] if len(values) else 0, 0)
             order = np.lexsort((_mixed(keys.astype(np.uint64)), late), axis=1)[:, :prefix]
+            blocks = np.maximum(1, -(-np.take_along_axis(late, order, axis=1) // LIST_ROWS)).ravel()
             n = len(keys)
             small = _mixed(sigs.astype(np.uint64)).astype(np.uint8)
             row = np.repeat(np.arange(n), prefix)
             yield pa.RecordBatch.from_arrays([
                 pa.array(np.take_along_axis(keys, order, axis=1).ravel()), batch.column("rep").take(pa.array(row)), batch.column("n").take(pa.array(row)),
-                pa.array([s.tobytes() for s in small], pa.binary()).take(pa.array(row)),
-            ], names=["value", "rep", "n", "sig"])
+                pa.array([s.tobytes() for s in small], pa.binary()).take(pa.array(row)), pa.array(blocks, pa.int64()),
+            ], names=["value", "rep", "n", "sig", "blocks"])
     return run
 
 
@@ -307,9 +310,13 @@ def candidate_edges(reps: DataFrame, rule: Rule) -> DataFrame:
     top = counts.orderBy(F.desc("count"), "value").limit(COMMON_VALUES).toPandas()
     top = top.sort_values("value")
     common = spark.sparkContext.broadcast((top["value"].to_numpy(np.int64), top["count"].to_numpy(np.int64)))
-    posted = reps.mapInArrow(_post(common, rule.prefix), "value long, rep long, n long, sig binary")
-    longer = stored(counts.where(F.col("count") > LIST_ROWS).select("value", F.ceil(F.col("count") / LIST_ROWS).alias("blocks")), "longer")
-    cells = _celled(posted.join(longer, "value", "left").fillna(1, ["blocks"]), "blocks", F.xxhash64("rep"))
+    posted = reps.mapInArrow(_post(common, rule.prefix), "value long, rep long, n long, sig binary, blocks long")
+    longer = counts.where(F.col("count") > LIST_ROWS)
+    if longer.count() > COMMON_VALUES:
+        # more long lists than values that every task knows the counts of
+        rest = longer.select("value", F.ceil(F.col("count") / LIST_ROWS).alias("counted"))
+        posted = posted.join(rest, "value", "left").withColumn("blocks", F.coalesce("counted", "blocks")).drop("counted")
+    cells = _celled(posted, "blocks", F.xxhash64("rep"))
     dealt = cells.drop("side").repartition(width(spark), "value", "x", "y").sortWithinPartitions("value", "x", "y", "rep")
     return dealt.mapInArrow(_meet(rule), "a long, b long")
 
@@ -327,11 +334,31 @@ def marked(rows: DataFrame, rule: Rule) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
+def may_hold(ids: DataFrame, column: str):
+    """A filter on a column: true for every id of ``ids``, false for most others. One bit per hash, so its size does not depend on the number of ids."""
+    place = f"pmod(xxhash64({column}), {FILTER_BITS}L)"
+    marks = ids.selectExpr(f"{place} as p").selectExpr("shiftright(p, 6) as word", "shiftleft(1L, cast(p % 64 as int)) as bit")
+    words = marks.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    bits = np.zeros(FILTER_BITS // 64, np.int64)
+    bits[words["word"].to_numpy()] = words["bits"].to_numpy()
+    shared = ids.sparkSession.sparkContext.broadcast(bits)
+
+    @F.pandas_udf("boolean")
+    def held(places: pd.Series) -> pd.Series:
+        p = places.to_numpy(np.int64)
+        return pd.Series(shared.value[p >> 6] >> (p & 63) & 1 == 1)
+    return held(F.expr(place))
+
+
 def class_texts(docs: DataFrame, members: DataFrame, rule: Rule) -> DataFrame:
-    """``members`` (rep, doc_id, mark, root, blocks) with one text of the class each: rows repeated under an id count once, those of its other classes not."""
+    """``members`` (rep, doc_id, mark, root, blocks) with one text of the class each: rows repeated under an id count once, those of its other classes not.
+
+    Only texts whose id may be a member's are shuffled, and repeated ones are combined before.
+    """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null and text is not null")
-    own = marked(members.join(rows, "doc_id").select("rep", "mark", "root", "blocks", "text"), rule).where("mark = set_mark")
-    return own.groupBy("rep", "mark", "root", "blocks").agg(F.min("text").alias("text")).drop("mark")
+    near = marked(rows.where(may_hold(members, "doc_id")), rule).where("set_mark is not null")
+    own = near.groupBy("doc_id", F.col("set_mark").alias("mark")).agg(F.min("text").alias("text"))
+    return own.join(members, ["doc_id", "mark"]).select("rep", "root", "blocks", "text")
 
 
 def confirmed_links(docs: DataFrame, reps: DataFrame, groups: DataFrame, rule: Rule) -> DataFrame:
