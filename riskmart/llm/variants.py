@@ -28,6 +28,8 @@ from riskmart.llm.shared import small_batches, stored, width
 RUN = "[a-zÀ-ÿ]"
 KEY = 3
 BLOCK = 16_384
+#: Most large buckets that are broadcast.
+WIDE = 100_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -134,9 +136,10 @@ def neighbours(words: DataFrame) -> DataFrame:
     )
     placed = words.select("word", "n", F.inline(ends))
     blocks = placed.groupBy("place", "key").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-    # one row per bucket with more than one block: a few
-    wide = blocks.where("blocks > 1")
-    dealt = placed.join(wide, ["place", "key"], "left").fillna(1, ["blocks"]).withColumn("own", F.pmod(F.xxhash64("word"), F.col("blocks")))
+    # no more than one in BLOCK / 2 words makes a bucket with more than one block
+    wide = stored(blocks.where("blocks > 1"), "wide")
+    known = F.broadcast(wide) if wide.count() <= WIDE else wide
+    dealt = placed.join(known, ["place", "key"], "left").fillna(1, ["blocks"]).withColumn("own", F.pmod(F.xxhash64("word"), F.col("blocks")))
     every = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
     # in its own cell a word asks and is asked for; elsewhere it does one of both
     roles = F.concat(
