@@ -41,7 +41,11 @@ PARAGRAPH = frozenset("p blockquote pre figure figcaption dl dt dd li ul ol".spl
 CELL = frozenset("table tbody thead tfoot tr td th".split())
 BOX = frozenset("div section article main body html center".split())
 
-TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][\w:-]*)((?:"[^"]*"|'[^']*'|[^>"'])*)>|<[!?][^>]*>""", re.S)
+#: A comment; a tag, which ends at the first ``>`` that is not in a quoted value, quotes counting only where a value starts; a declaration; a tag that never ends.
+TOKEN = re.compile(
+    r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?>=\s*+(?>"[^"]*"|'[^']*'|[^\s"'>][^\s>]*+)|[^>=]|=(?=\s*+>))*+)>|<[!?][^>]*>|</?[a-zA-Z].*\Z""", re.S)
+#: What of RAW is text for the parser; an unclosed one of these takes the rest of the page, others are passed over.
+PLAIN = frozenset("script style textarea title iframe".split())
 ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role|data-main)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 WORD = re.compile(r"[a-z]+")
@@ -92,7 +96,7 @@ class Page:
                 self._close(stack, name)
             elif name in RAW:
                 close = re.compile(rf"</{name}\b[^>]*>", re.I).search(html, at) if not token[3].endswith("/") else None
-                at = close.end() if close else (at if token[3].endswith("/") else len(html))
+                at = close.end() if close else (at if token[3].endswith("/") or name not in PLAIN else len(html))
             elif name not in VOID:
                 self._open(stack, name, token[3])
         if run:

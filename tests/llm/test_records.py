@@ -277,3 +277,14 @@ def test_language_stage_by_what_was_met(spark, sf):
     assert not kept & {-1, -2} and len(kept) >= 0.99 * docs.count()
     many = spark.createDataFrame([(i, "one short clean text", f"l{i % 30}") for i in range(300)], docs.schema)
     assert corpus_pipeline.language_stage(spark, many, sf).count() == 300
+
+
+@pytest.mark.parametrize("body, want", [
+    ("<p title=don't>First words here.</p><p>And more of them.</p>", ["First words here.", "And more of them."]),
+    ('<p class="x"">First words here.</p>', ["First words here."]), ('<p>First words here.</p><p title="never closed>Lost', ["First words here."]),
+    ("<p data-x='a > b' y = z\"q>First words here.</p>", ["First words here."]), ("<p>First</p><svg><p>Second</p>", ["First", "Second"]),
+    ("<p>First</p><noscript><p>Second</p>", ["First", "Second"]), ("<p>First</p><script>var x = '<p>no</p>'", ["First"]), ("<p/class=a>First</p>", ["First"]),
+])
+def test_stray_quotes_and_unclosed_tags(body, want):
+    page = html.Page(f"<html><body><article>{body}")
+    assert [" ".join("".join(run).split()) for _, run in page.runs] == want
