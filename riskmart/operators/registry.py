@@ -110,11 +110,15 @@ def upsert(table: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def timeline(registry: DataFrame, end) -> DataFrame:
-    """Live span of each promoted version; open ones run to the end of the window."""
-    stop = F.coalesce("retired_at", F.lit(end).cast("date"))
-    return registry.where(F.col("promoted_at").isNotNull()).select(
-        "slot", "version", F.col("promoted_at").alias("start"), stop.alias("stop"),
-        F.datediff(stop, F.col("promoted_at")).alias("days_live"),
+    """All versions: the live span of the promoted ones, open ones running to the end of the window, and the day on which the others were rejected.
+
+    The algorithm is shown where the registry has it.
+    """
+    stop = F.when(F.col("promoted_at").isNotNull(), F.coalesce("retired_at", F.lit(end).cast("date")))
+    algorithm = [F.col("algorithm")] if "algorithm" in registry.columns else []
+    return registry.select(
+        "slot", "version", *algorithm, F.col("challenger_auc").alias("oot_auc"), F.col("promoted_at").alias("start"), stop.alias("stop"),
+        F.datediff(stop, F.col("promoted_at")).alias("days_live"), F.when(~F.col("promoted"), F.col("trained_on")).alias("rejected_on"),
     )
 
 
@@ -145,18 +149,22 @@ def retrain_decisions(
     full = known.join(hit, ["slot", "run_month"], "left")
 
     stale = F.col("newest").isNull() | (F.col("newest") <= F.col("last.data_end"))
+    def said(*parts):
+        return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+
+    alert = F.col("alert")
     rules = [
-        (run < F.lit(policy.go_live), False, "before go-live"),
-        (run > F.lit(policy.feature_end), False, "no new applications to score"),
-        (F.col("last").isNull(), True, "first deployment (go-live)"),
-        (stale, False, "no new labelled applications"),
-        (is_scheduled(run, policy), True, "scheduled retrain"),
-        (F.col("alert").isNotNull(), True, "red alert"),
+        (run < F.lit(policy.go_live), False, said(f"before go-live ({policy.go_live})")),
+        (run > F.lit(policy.feature_end), False, said(f"no new applications to score after {policy.feature_end}")),
+        (F.col("last").isNull(), True, said("first deployment (go-live)")),
+        (stale, False, said("no new labelled applications since ", F.col("last.version"), " (newest month ", F.coalesce(F.col("newest").cast("string"), F.lit("none")), ")")),
+        (is_scheduled(run, policy), True, said(f"scheduled retrain (every {policy.retrain_every_months} months from go-live)")),
+        (alert.isNotNull(), True, said("red alert: ", alert["metric"], "=", F.format_string("%.3f", F.bround(alert["value"], 3)), " on ", alert["monitoring_date"])),
     ]
-    due, reason = F.lit(False), F.lit("not a scheduled month and no red alerts")
+    due, reason = F.lit(False), said("not a scheduled month and no red alerts since ", F.col("last.trained_on"))
     for condition, outcome, text in reversed(rules):
         due = F.when(condition, F.lit(outcome)).otherwise(due)
-        reason = F.when(condition, F.lit(text)).otherwise(reason)
+        reason = F.when(condition, text).otherwise(reason)
     return full.select(
         "slot", "run_month", due.cast("int").alias("retrain"), reason.alias("reason"),
         F.col("last.version").alias("last_version"), "newest",

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from riskmart.functions import status as light
@@ -100,14 +103,12 @@ def registry_events(spark, sf):
 
 
 @query("registry_upsert", """
-select slot, version, trained_on, 'first' as source from e_registry where trained_on < date '1998-01-01' and trained_on < date '1997-06-01'
-union all select slot, version, trained_on, 'again' as source from e_registry
-where trained_on >= date '1997-06-01' and trained_on < date '1999-01-01'""")
+select slot, version, trained_on, case when trained_on < date '1997-06-01' then 'first' else 'again' end as source from e_registry""")
 def registry_upsert(spark, sf):
-    """Runs before 1998, then the runs of June 1997 to 1998 written over them."""
+    """Runs before 1998, then all runs from June 1997 on written over them."""
     rows = versions(spark, sf).select("slot", "version", "trained_on")
     first = rows.where("trained_on < date '1998-01-01'").withColumn("source", F.lit("first"))
-    again = rows.where("trained_on >= date '1997-06-01' and trained_on < date '1999-01-01'").withColumn("source", F.lit("again"))
+    again = rows.where("trained_on >= date '1997-06-01'").withColumn("source", F.lit("again"))
     return registry.upsert(first, again, ["slot", "version"])
 
 
@@ -130,17 +131,18 @@ def champion_before(spark, sf):
 
 
 @query("version_timeline", """
-select slot, version, promoted_at as start, coalesce(retired_at, date '2001-12-01') as stop,
-       cast(date_diff('day', promoted_at, coalesce(retired_at, date '2001-12-01')) as int) as days_live
-from e_registry where promoted_at is not null""")
+select slot, version, round(challenger_auc, 6) as oot_auc, promoted_at as start, case when promoted then coalesce(retired_at, date '2001-12-01') end as stop,
+       case when promoted then cast(date_diff('day', promoted_at, coalesce(retired_at, date '2001-12-01')) as int) end as days_live,
+       case when not promoted then trained_on end as rejected_on
+from e_registry""")
 def version_timeline(spark, sf):
-    return registry.timeline(versions(spark, sf), "2001-12-01")
+    return tidy(registry.timeline(versions(spark, sf), "2001-12-01"), 6)
 
 
 part("e_months", "select distinct model_slot as slot, cohort_date as run_month from v_scored")
 part("e_trained", """
 select slot, version, trained_on, cast(trained_on - to_months(case when month(trained_on) = 3 then 0 else 8 end) as date) as data_end
-from e_runs where trained_on >= date '1996-07-01' and month(trained_on) <> 5""")
+from e_runs""")
 part("e_newest", """
 select m.slot, m.run_month, max(c.run_month) as newest from e_months m
 join e_months c on c.slot = m.slot and c.run_month <= cast(m.run_month - interval 6 month as date) group by 1, 2""")
@@ -150,22 +152,28 @@ select m.slot, m.run_month, max(t.trained_on) as trained_on, arg_max(t.version,
        arg_max(t.data_end, t.trained_on) as data_end
 from e_months m left join e_trained t on t.slot = m.slot and t.trained_on < m.run_month group by 1, 2""")
 part("e_hit", """
-select l.slot, l.run_month, arg_max(a.metric, a.monitoring_date) as alert_metric, max(a.monitoring_date) as alert_date
+select l.slot, l.run_month, arg_max(a.metric, a.monitoring_date) as alert_metric, max(a.monitoring_date) as alert_date,
+       arg_max(a.value, struct_pack(d := a.monitoring_date, v := a.value)) as alert_value
 from e_last l join e_alerts a on a.slot = l.slot and a.monitoring_date > l.trained_on and a.monitoring_date < l.run_month group by 1, 2""")
 
 
-@query("retrain_decision", """
-select slot, run_month, cast(reason in ('first deployment (go-live)', 'scheduled retrain', 'red alert') as int) as retrain, reason,
-       last_version, newest, alert_metric, alert_date
-from (select *, case when run_month < date '1996-03-01' then 'before go-live' when run_month > date '2000-12-01' then 'no new applications to score'
-        when last_version is null then 'first deployment (go-live)' when newest is null or newest <= data_end then 'no new labelled applications'
-        when run_month <= date '2001-06-01' and date_diff('month', date '1996-03-01', run_month) % 2 = 0 then 'scheduled retrain'
-        when alert_date is not null then 'red alert' else 'not a scheduled month and no red alerts' end as reason
+#: Go-live is the calendar's own start, so that the first month has no run before it.
+RETRAIN_POLICY = replace(TEST_POLICY, go_live=date(1995, 1, 1))
+
+
+@query("retrain_decision", f"""
+select slot, run_month, cast(split_part(reason, ' ', 1) in ('first', 'scheduled', 'red') as int) as retrain, reason, last_version, newest, alert_metric, alert_date
+from (select *, case when run_month > date '{RETRAIN_POLICY.feature_end}' then 'no new applications to score after {RETRAIN_POLICY.feature_end}'
+        when last_version is null then 'first deployment (go-live)'
+        when newest is null or newest <= data_end then concat('no new labelled applications since ', last_version, ' (newest month ', coalesce(cast(newest as varchar), 'none'), ')')
+        when run_month <= date '2001-06-01' and date_diff('month', date '1995-01-01', run_month) % 2 = 0 then 'scheduled retrain (every 2 months from go-live)'
+        when alert_date is not null then concat('red alert: ', alert_metric, '=', format('{{:.3f}}', alert_value), ' on ', alert_date)
+        else concat('not a scheduled month and no red alerts since ', trained_on) end as reason
       from e_last left join e_newest using (slot, run_month) left join e_hit using (slot, run_month))""")
 def retrain_decision(spark, sf):
     """Run calendar against trained versions, labelled months and red alerts (a tight alert limit)."""
     months = moments(spark, sf).withColumnRenamed("cohort_date", "run_month")
-    trained = runs(spark, sf).where("trained_on >= date '1996-07-01' and month(trained_on) <> 5").select(
+    trained = runs(spark, sf).select(
         "slot", "version", "trained_on", F.expr("add_months(trained_on, case when month(trained_on) = 3 then 0 else -8 end)").alias("data_end")
     )
     known = months.select("slot", F.col("run_month").alias("_month"))
@@ -176,7 +184,7 @@ def retrain_decision(spark, sf):
         F.col("model_slot").alias("slot"), F.col("cohort_date").alias("monitoring_date"), F.lit("psi_score").alias("metric"),
         F.col("psi").alias("value"), light.high_is_bad(F.col("psi"), (0.01, 0.02)).alias("status"),
     )
-    return registry.retrain_decisions(months, trained, newest, registry.red_alerts(facts), TEST_POLICY)
+    return registry.retrain_decisions(months, trained, newest, registry.red_alerts(facts), RETRAIN_POLICY)
 
 
 part("a_rows", """
