@@ -10,6 +10,7 @@ from riskmart.config import Policy
 from riskmart.functions import status as light
 from riskmart.operators import drift
 from riskmart.operators.metrics import cutoff_summary, rank_metrics
+from riskmart.sources.tables import stored
 
 COHORT = ["model_slot", "model_version", "snapshot_date"]
 FACT = [
@@ -44,9 +45,8 @@ def reference_profile(reference: DataFrame, keys: list[str], variables: list[str
     """
     long = drift.melt(reference, keys, variables)
     by = keys + ["variable"]
-    edges = drift.decile_edges(long, by)
-    shares = drift.proportions(drift.bin_counts(long, edges, by, by), by)
-    return edges, shares
+    edges, shares = drift.profile(long, by)
+    return stored(edges, "edges"), stored(shares, "shares")
 
 
 def variable_drift(current: DataFrame, edges: DataFrame, shares: DataFrame, keys: list[str],

@@ -80,11 +80,11 @@ def quantiles(df: DataFrame, keys: list[str], value: str, fractions: list[float]
     Groups whose values are all null are absent.
     """
     runs = running_totals(df.withColumn("_n", F.lit(1).cast("long")), keys, value, ["_n"], ranges=ranges)
-    return interpolated(runs, keys, value, fractions)
+    return interpolated(runs, keys, value, fractions).drop("below")
 
 
 def interpolated(runs: DataFrame, keys: list[str], value: str, fractions: list[float], own: str | None = None) -> DataFrame:
-    """Quantiles from running counts; at most two rows per group and fraction pass the first step.
+    """Quantiles from running counts, with ``below``, the rows less than each; at most two rows per group and fraction pass the first step.
 
     ``own`` names how many of a row's ``_n`` have its value, counted before the others: a rank among the others gives a null.
     """
@@ -99,10 +99,12 @@ def interpolated(runs: DataFrame, keys: list[str], value: str, fractions: list[f
     at = F.col("at")
     ends = runs.select(*keys, value, "_n", *([own] if own else []), "cum__n", "total__n", F.inline(touched)).groupBy(*keys, "i").agg(
         F.max("total__n").alias("n"), F.max(at - F.floor(at)).alias("share"),
+        F.max(F.floor(at)).alias("rank"), F.max(F.when(F.floor(at).between(first, last), first)).alias("first"),
         F.max(F.when(F.floor(at).between(first, last), F.col(value))).alias("low"),
         F.max(F.when(F.ceil(at).between(first, last), F.col(value))).alias("high"),
     )
-    point = F.struct("i", (F.col("low") + (F.col("high") - F.col("low")) * F.col("share")).alias("q"))
-    return ends.groupBy(*keys).agg(
-        F.max("n").alias("n"), F.sort_array(F.collect_list(point))["q"].alias("quantiles")
-    )
+    q = F.col("low") + (F.col("high") - F.col("low")) * F.col("share")
+    # between two neighbouring ranks lies no row
+    point = F.struct("i", q.alias("q"), F.when(q > F.col("low"), F.col("rank") + 1).otherwise(F.col("first")).alias("below"))
+    points = F.sort_array(F.collect_list(point))
+    return ends.groupBy(*keys).agg(F.max("n").alias("n"), points["q"].alias("quantiles"), points["below"].alias("below"))
