@@ -7,8 +7,8 @@ inequality, so the best split moves one way and divide and conquer finds it.
 
 Within a bucket a batch holds as many pieces as fit the token budget at the padded length. Pieces are numbered by a hash order: they are dealt into
 slots, numbered within each, and slots are put one after another by a running total over a table of slot sizes. So all batches of a bucket but its last are full, and no task
-sees more than a slot. Documents without words (null or empty texts) take no part. Rows repeated with one id are packed each; which of them comes first is undefined but
-stable. With no document at all the result is empty.
+sees more than a slot. Slots are drawn from the id, the piece and the row's number in the stored pieces, so rows with one id, or none, are spread like all others. Documents
+without words (null or empty texts) take no part. Rows repeated with one id are packed each. Which batch of its bucket a row joins depends on how the input is dealt; sizes and padding do not. With no document at all the result is empty.
 """
 
 import numpy as np
@@ -74,6 +74,10 @@ def pieces(docs: DataFrame, max_length: int = MAX_LENGTH, step: int = STEP) -> D
     return rows.withColumn("length", F.ceil(F.col("n_words") / step) * step)
 
 
+def slot_of():
+    return F.pmod(F.xxhash64("doc_id", "piece", "row"), F.col("slots"))
+
+
 def pack(
     docs: DataFrame, buckets: int = BUCKETS, budget: int = BUDGET, max_length: int = MAX_LENGTH, step: int = STEP, slot_rows: int = SLOT_ROWS,
 ) -> DataFrame:
@@ -81,7 +85,8 @@ def pack(
     if max_length % step:
         raise ValueError("max_length must be a multiple of step")
     spark = docs.sparkSession
-    rows = stored(pieces(docs, max_length, step), "pieces")
+    # numbered before it is written: a task that runs again reads the same numbers
+    rows = stored(pieces(docs, max_length, step).withColumn("row", F.monotonically_increasing_id()), "pieces")
     bars = rows.groupBy("length").count().orderBy("length").collect()  # at most max_length / step rows
     lengths, counts = np.array([r[0] for r in bars], np.int64), np.array([r[1] for r in bars], np.int64)
     bounds = optimal_bounds(lengths, counts, buckets)
@@ -92,10 +97,10 @@ def pack(
     for bound in reversed(bounds):
         of = F.when(F.col("length") <= bound, F.lit(bound).cast("long")).otherwise(of)
     placed = rows.withColumn("bucket", of).join(F.broadcast(spark.createDataFrame(table, schema)), "bucket")
-    slotted = placed.withColumn("slot", F.pmod(F.xxhash64("doc_id", "piece"), F.col("slots")))
+    slotted = placed.withColumn("slot", slot_of())
     held = slotted.groupBy("bucket", "slot").agg(F.count("*").alias("held"))
     before = held.withColumn("before", F.coalesce(F.sum("held").over(W.partitionBy("bucket").orderBy("slot").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).drop("held")
-    order = W.partitionBy("bucket", "slot").orderBy(F.xxhash64("doc_id", "piece", F.lit(1)), "doc_id", "piece")
+    order = W.partitionBy("bucket", "slot").orderBy(F.xxhash64("doc_id", "piece", "row", F.lit(1)), "row", "piece")
     at = F.col("before") + F.row_number().over(order) - 1
     numbered = slotted.join(before, ["bucket", "slot"]).withColumn("at", at)
     return numbered.select(
