@@ -58,7 +58,8 @@ def calls_and_results(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Conversations read as tool use: a user turn calls a tool, the turn after it from the assistant is its result.
 
     Every call needs the result of the call before it; in each fifth conversation it needs the next one's instead, in each
-    thirty-fifth both. Some arguments are left out, of the wrong type, unknown or no JSON at all.
+    thirty-fifth both, which makes cycles. In the conversations five after those, calls come in groups of eight and need the next two of their
+    group: a graph without cycles, of eight stages however long the conversation is. Some arguments are left out, of the wrong type, unknown or no JSON at all.
     """
     conv, turn, text = F.col("conv_id"), F.col("turn"), F.col("text")
     mark = conv * 7 + turn
@@ -71,7 +72,9 @@ def calls_and_results(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     kind = conv + turn
     name = F.when(kind % 17 == 0, "browse").when(kind % 3 == 0, "search").when(kind % 3 == 1, "lookup").otherwise("summarise")
-    needs = F.when(conv % 35 == 0, F.array(key(turn - 2), key(turn + 2))).when(conv % 5 == 0, F.array(key(turn + 2))).otherwise(F.array(key(turn - 2)))
+    place = F.floor(turn / 2) % 8
+    ahead = F.array_compact(F.array(F.when(place < 7, key(turn + 2)), F.when(place < 6, key(turn + 4))))
+    needs = F.when(conv % 35 == 0, F.array(key(turn - 2), key(turn + 2))).when(conv % 35 == 5, ahead).when(conv % 5 == 0, F.array(key(turn + 2))).otherwise(F.array(key(turn - 2)))
     calls = conversations.where("role = 'user'").select(
         conv, key(turn).alias("call_id"), turn.alias("position"), name.alias("name"), arguments.alias("arguments"), needs.alias("needs"))
     results = conversations.where("role = 'assistant'").select(conv, key(turn - 1).alias("call_id"), turn.alias("position"), text.alias("content"))
@@ -87,7 +90,8 @@ with recursive c as (
   select conv_id, conv_id || ':' || (turn - 1) as call_id, turn, cast(to_json("text") as varchar) as quoted from conversations where role = 'assistant'
 ), edge as (
   select c.conv_id, c.turn, n.turn as needed from c join c n on c.conv_id = n.conv_id
-  where (n.turn = c.turn + 2 and c.conv_id % 5 = 0) or (n.turn = c.turn - 2 and (c.conv_id % 5 <> 0 or c.conv_id % 35 = 0))
+  where (n.turn = c.turn + 2 and c.conv_id % 5 = 0 and (c.conv_id % 35 <> 5 or c.turn // 2 % 8 < 7))
+    or (n.turn = c.turn + 4 and c.conv_id % 35 = 5 and c.turn // 2 % 8 < 6) or (n.turn = c.turn - 2 and (c.conv_id % 5 <> 0 or c.conv_id % 35 = 0))
 ), moved as (select distinct conv_id from edge where needed > turn),
 chain as (
   select c.conv_id, c.turn, 0 as stage from c join moved using (conv_id) where not exists (select 1 from edge e where e.conv_id = c.conv_id and e.turn = c.turn)
