@@ -299,6 +299,17 @@ def test_batches(docs):
         assert (sizes.iloc[:-1] == room).all() and sizes.iloc[-1] <= room and not rows.duplicated(["batch", "position"]).any()
 
 
+def test_packing_spreads_rows_without_id(spark):
+    rows = spark.range(100_000).select(
+        F.lit(None).cast("long").alias("doc_id"), F.lit(0).cast("long").alias("piece"), F.col("id").alias("row"), F.lit(20).cast("long").alias("slots"))
+    held = sorted(r["count"] for r in rows.groupBy(packing.slot_of().alias("slot")).count().collect())
+    assert len(held) == 20 and held[-1] < 2 * held[10]
+    docs = spark.range(300).select(F.lit(None).cast("long").alias("doc_id"), F.lit("a b c").alias("text"))
+    got = packing.pack(docs, budget=30, max_length=8, slot_rows=50).toPandas()
+    assert len(got) == 300 and len(got.drop_duplicates(["bucket", "batch", "position"])) == 300
+    assert set(got.groupby("batch").size()) == {10}
+
+
 def test_packing_of_odd_texts(odd):
     got = packing.pack(odd).toPandas()
     assert set(got.doc_id.dropna()) == {2, 1, 7, 8, 9, 10} and got[got.doc_id == 7].n_words.sum() == 30_000
