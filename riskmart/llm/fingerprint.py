@@ -10,18 +10,19 @@ texts are sketched ``GROWTH`` times larger and tried again; beyond four times th
 Likeness is the Jaccard similarity that follows from the two counts and the size of the difference.
 
 ``fingerprints`` is told the next document of each (descending id, the first after the last): documents are dealt into
-ranges of ids, and each range also gets the one row that follows it, so no task sees more than its range. A null text is empty. Null ids
-come after all others. Rows with equal ids follow each other in the order of their texts' hashes. Two empty texts are alike (1.0).
+ranges of (id, hash of the text), and each range also gets the one text that follows it, so no task sees more than its range, however many rows share an id, a text, or
+have none. A null text is empty. Null ids come after all others. Rows with equal ids follow each other in the order of their texts' hashes. Two empty texts are alike (1.0).
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskmart.llm.shared import small_batches, width
@@ -30,7 +31,9 @@ PARAGRAPH_WORDS = 8
 HASHES = 3
 BASE_WIDTH = 8
 GROWTH = 4
-QUANTILE_ACCURACY = 10_000
+#: Size of the quantile sketches; the rank error is below a thousandth.
+SKETCH = 8_192
+LOWEST = -(1 << 63)
 
 SCHEMA = (
     "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
@@ -176,10 +179,7 @@ def _rows(ids: list, texts: list[str], last: str) -> pa.RecordBatch:
 
 
 def _in_order(batches):
-    """Rows of a task come by range and descending id; a range's last row only serves as a successor.
-
-    Repeated ids may give a range several successors; the first of them counts.
-    """
+    """Rows of a task come by range and in order; a range's last row only serves as a successor."""
     ids, texts, held = [], [], 0
     for batch in batches:
         for doc_id, text, ghost in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "ghost"))):
@@ -199,35 +199,103 @@ def _in_order(batches):
         raise RuntimeError("a range of documents came without its successor")
 
 
+class Ranges:
+    """Ranges of documents in the order (place, hash), each beginning at a bound that is some document's own.
+
+    A bound that very many rows equal has several ranges: all rows of the bound are copies of one text, so any of them may stand in any of the ranges, and what follows a
+    range of copies is that same text again. The rows up to the next bound stand in the last of its ranges.
+    """
+
+    def __init__(self, bounds: list[tuple[int, int, int]]):
+        bounds = sorted(bounds)
+        self.place, self.hash = (np.array([b[i] for b in bounds], np.int64) for i in (0, 1))
+        self.many = np.array([b[2] for b in bounds], np.int64)
+        self.start = np.cumsum(self.many) - self.many
+        self.total = int(self.many.sum())
+        places, first, n = np.unique(self.place, return_index=True, return_counts=True)
+        self.cut = {int(p): (int(f), int(f + k)) for p, f, k in zip(places, first, n) if k > 1 or self.hash[f] != LOWEST}
+
+    def bound_of(self, place: np.ndarray, hashed: np.ndarray) -> np.ndarray:
+        """Number of the last bound not after each row."""
+        found = np.searchsorted(self.place, place, side="right") - 1
+        for p in np.intersect1d(place, np.array(list(self.cut), np.int64)):
+            lo, hi = self.cut[int(p)]
+            at = place == p
+            found[at] = lo + np.searchsorted(self.hash[lo:hi], hashed[at], side="right") - 1
+        return found
+
+    def range_of(self, place: np.ndarray, hashed: np.ndarray, salt: np.ndarray) -> np.ndarray:
+        b = self.bound_of(place, hashed)
+        copies = (self.place[b] == place) & (self.hash[b] == hashed)
+        return self.start[b] + np.where(copies, salt % self.many[b], self.many[b] - 1)
+
+    def followed(self) -> list[list[int]]:
+        """The ranges after which each bound's document comes: the one before its first, and all of its copies'."""
+        return [[(int(s) - 1) % self.total, *range(int(s), int(s + m) - 1)] for s, m in zip(self.start, self.many)]
+
+
+def _cuts(column: str, n: int) -> Column:
+    """Values of the column that cut its rows into ``n`` parts of about equal size, exact as 64-bit numbers."""
+    found = F.kll_sketch_get_quantile_bigint(F.kll_sketch_agg_bigint(column, F.lit(SKETCH)), F.array(*[F.lit(i / n) for i in range(1, n)]))
+    return F.when(F.count(column) > 0, found)
+
+
+def _ranges(keyed: DataFrame, n: int) -> Ranges | None:
+    """About ``n`` ranges of equal size. An id that many rows have is cut by the hashes of its texts, a text that many of those have by row numbers.
+
+    The driver receives at most ``n`` ids, and at most ``n`` hashes for each id that holds more than two ranges.
+    """
+    first, cuts = keyed.agg(F.min("place"), _cuts("place", n)).first()
+    if first is None:
+        return None
+    times = Counter(cuts)
+    hot = {p: k for p, k in times.items() if k > 1}
+    bounds = [(p, LOWEST, 1) for p in {first, *times} - set(hot)]
+    if hot:
+        most = max(hot.values()) + 1
+        for place, least, found in keyed.where(F.col("place").isin(list(hot))).groupBy("place").agg(F.min("hash"), _cuts("hash", most)).collect():
+            k = hot[place] + 1
+            hits = Counter([least, *(found[i * most // k - 1] for i in range(1, k))])
+            bounds += [(place, h, 1 if c == 1 else c + 1) for h, c in hits.items()]
+    return Ranges(bounds)
+
+
 def fingerprints(docs: DataFrame) -> DataFrame:
     """One row per document with its fingerprint, its edited text's, and their likeness; see the module text."""
     spark = docs.sparkSession
     small_batches(spark)
     n = width(spark)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    low = -(1 << 63)
-    keyed = docs.withColumn("key", F.coalesce("doc_id", F.lit(low)))
-    # at most one id per shuffle task reaches the driver
-    cuts = F.percentile_approx("key", [i / n for i in range(1, n)], QUANTILE_ACCURACY)
-    top, cuts = keyed.agg(F.max("key"), cuts).first()
-    bounds = np.array(sorted(set(cuts or []) - {top}), np.int64)
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    # the complement of an id sorts descending ids first, and null ids (as the lowest) last
+    keyed = keyed.select("*", F.bitwise_not(F.coalesce("doc_id", F.lit(LOWEST))).alias("place"), F.xxhash64("text").alias("hash"))
+    ranges = _ranges(keyed, n)
+    if ranges is None:
+        return spark.createDataFrame([], SCHEMA)
 
     @F.pandas_udf("int")
-    def range_of(key):
+    def range_of(place, hashed, salt):
         import pandas as pd
-        return pd.Series(np.searchsorted(bounds, key.to_numpy(), side="left").astype(np.int32))
+        return pd.Series(ranges.range_of(place.to_numpy(), hashed.to_numpy(), salt.to_numpy()).astype(np.int32))
 
-    after = F.array(F.struct(F.col("at"), F.lit(False).alias("ghost")))
-    heads = {int(b): i + 1 for i, b in enumerate(bounds)} | ({} if top is None else {int(top): 0})
-    follows = F.when(F.col("key").isin(list(heads)), F.array(F.struct(F.when(
-        F.col("key") == F.lit(top), F.lit(0)).otherwise(F.col("at") + 1).alias("at"), F.lit(True).alias("ghost"))))
+    @F.pandas_udf("array<int>")
+    def followed(place, hashed):
+        import pandas as pd
+        after = ranges.followed()
+        return pd.Series([after[i] for i in ranges.bound_of(place.to_numpy(), hashed.to_numpy())])
+
+    bounds = spark.createDataFrame(
+        list(zip(ranges.place.tolist(), ranges.hash.tolist())), "place long, least long")
+    # of the rows at a bound only the different texts are gathered: one, or those of an id that is no hot one
+    heads = (
+        keyed.join(F.broadcast(bounds), "place").where(F.col("least").isin(LOWEST) | (F.col("hash") == F.col("least")))
+        .groupBy("place", "least").agg(F.array_min(F.collect_set(F.struct("hash", "text")))["text"].alias("text"))
+        .select(F.lit(None).cast("long").alias("doc_id"), "text", "place", F.col("least").alias("hash"), F.explode(followed("place", "least")).alias("at"), F.lit(True).alias("ghost"))
+    )
     dealt = (
-        keyed.withColumn("at", range_of("key"))
-        .withColumn("place", F.explode(F.concat(after, F.coalesce(follows, F.expr("cast(array() as array<struct<at:int,ghost:boolean>>)")))))
-        .select("doc_id", "text", "key", F.col("place.at").alias("at"), F.col("place.ghost").alias("ghost"))
+        keyed.withColumn("at", range_of("place", "hash", F.monotonically_increasing_id())).withColumn("ghost", F.lit(False))
+        .unionByName(heads)
         .repartitionByRange(n, "at")
-        .sortWithinPartitions("at", "ghost", F.desc("key"), F.xxhash64("text"))
+        .sortWithinPartitions("at", "ghost", "place", "hash", "text")
         .select("doc_id", "text", "ghost")
     )
     return dealt.mapInArrow(_in_order, SCHEMA)
-

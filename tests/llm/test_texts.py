@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -80,6 +81,23 @@ def test_fingerprints_of_one_and_none(spark, odd):
     assert len(one) == 1 and one[0].near_next == 1.0
 
 
+@pytest.mark.parametrize("ids, texts", [("null", "id"), ("null", "id % 7"), ("7", "0"), ("if(id % 3 = 0, 7, id)", "if(id % 2 = 0, 0, id)"), ("id", "id % 5"), ("id + 9000000000000000000", "id % 5")])
+def test_fingerprints_of_hot_ids(spark, ids, texts):
+    """A third of all rows, or all, with one id, or none, or one text: each row has the successor of one order, and no task holds much of them."""
+    rows = spark.range(30_000).selectExpr(f"cast({ids} as long) doc_id", f"concat('text number ', {texts}, repeat(' and so on', cast({texts} % 3 as int))) text")
+    got = fingerprint.fingerprints(rows)
+    sizes = got.groupBy(F.spark_partition_id()).count().toPandas()["count"]
+    assert sizes.sum() == 30_000 and sizes.max() <= 2.5 * 30_000 / fingerprint.width(spark)
+    order = sorted(
+        ((d.doc_id, d.h, d.text) for d in rows.withColumn("h", F.xxhash64("text")).collect()),
+        key=lambda r: (float("inf") if r[0] is None else -r[0], r[1]))
+    want = Counter()
+    for (doc_id, _, text), (_, _, following) in zip(order, order[1:] + order[:1]):
+        half = len(text) // 2
+        want[doc_id, len(text), hashlib.sha256((text[:len(text) - half] + following[:half]).encode()).hexdigest()] += 1
+    assert Counter(tuple(r) for r in got.select("doc_id", "n_chars", "edited_sha256").collect()) == want
+
+
 @pytest.mark.parametrize("size", [0, 3, 40, 5000])
 def test_peeling_recovers_the_difference(size):
     rng = np.random.default_rng(size)
