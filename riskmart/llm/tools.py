@@ -17,6 +17,8 @@ of the same conversation whose results the call uses. ``results`` has (conv_id,
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -97,19 +99,16 @@ def _chain_stages(calls: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def _graph_stages(calls: DataFrame, edges: DataFrame) -> DataFrame:
-    """Calls with several needs: one round per stage places the calls whose needs are all placed."""
-    open_calls, done, stage = stored(calls, "open"), None, 0
-    while True:
-        free = stored(open_calls.join(edges.select(*KEY).distinct(), KEY, "left_anti").withColumn("stage", F.lit(stage)), "stage")
-        if free.isEmpty():
-            break
-        done = free if done is None else done.unionByName(free)
-        placed = free.select("conv_id", F.col("call_id").alias("needed"))
-        edges = stored(edges.join(placed, ["conv_id", "needed"], "left_anti"), "needs")
-        open_calls = stored(open_calls.join(free.select(*KEY), KEY, "left_anti"), "open")
+    """Calls with several needs: one round per stage, with one write, counts down the needs of the calls still open and places those that have none left."""
+    edges = stored(edges, "needs")
+    left = F.coalesce("left", F.lit(0).cast("long"))
+    state, done, stage = stored(calls.join(edges.groupBy(*KEY).agg(F.count("*").alias("left")), KEY, "left").withColumn("left", left), "open"), [], 0
+    while not (free := state.where("left = 0").select(*KEY)).isEmpty():
+        done.append(free.withColumn("stage", F.lit(stage)))
+        met = edges.join(free.withColumnRenamed("call_id", "needed"), ["conv_id", "needed"]).groupBy(*KEY).agg(F.count("*").alias("met"))
+        state = stored(state.where("left > 0").join(met, KEY, "left").select(*KEY, (F.col("left") - F.coalesce("met", F.lit(0))).alias("left")), "open")
         stage += 1
-    rest = open_calls.withColumn("stage", F.lit(None).cast("int"))
-    return rest if done is None else done.unionByName(rest)
+    return reduce(DataFrame.unionByName, done, state.where("left > 0").select(*KEY, F.lit(None).cast("int").alias("stage")))
 
 
 def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict[str, str]]) -> DataFrame:
