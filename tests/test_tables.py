@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from riskmart.config import Policy
 from riskmart.operators import logistic, models
-from riskmart.plans import lifecycle
+from riskmart.plans import data_queries, lifecycle
 from riskmart.session import run_folder
 from riskmart.sources import decisions, tables
 
@@ -145,3 +145,14 @@ def test_a_month_scored_keeps_the_others(spark):
     assert counts("predictions") == {(january, "model_1", 5), (january, "model_2", 5), (march, "model_2", 4)}
     assert counts("production") == {(january, "model_1", 5), (march, "model_2", 4)}
     assert {str(r[0]) for r in cycle.table("predictions").where("run_month = date '2000-03-01'").select("scored_on").collect()} == {"2000-03-01"}
+
+
+def test_rows_of_several_writes_are_derived_once(spark, sf, monkeypatch):
+    plans, write = [], tables.write_table
+
+    def seen(df, *args, **kwargs):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return write(df, *args, **kwargs)
+    monkeypatch.setattr(tables, "write_table", seen)
+    data_queries.idempotent_overwrite(spark, sf).collect()
+    assert len(plans) == 3 and not any("Join" in p for p in plans)
