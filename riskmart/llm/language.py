@@ -19,6 +19,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -56,6 +58,16 @@ class Model:
     words: dict[str, np.ndarray]
     grams: dict[int, dict[str, np.ndarray]]
 
+    def __getstate__(self) -> tuple:
+        """Written as one matrix per table: a broadcast of many small arrays is several times larger."""
+        packed = {k: (list(t), np.array(list(t.values())).reshape(len(t), len(self.languages))) for k, t in {0: self.words, **self.grams}.items()}
+        return self.languages, packed
+
+    def __setstate__(self, state: tuple) -> None:
+        self.languages, packed = state
+        tables = {k: dict(zip(units, rows)) for k, (units, rows) in packed.items()}
+        self.words, self.grams = tables.pop(0), tables
+
     def score_word(self, word: str) -> np.ndarray:
         known = self.words.get(word)
         if known is not None:
@@ -180,22 +192,31 @@ def _units(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 yield pd.DataFrame({"lang": lang, "kind": length, "unit": list(counts), "n": list(counts.values())})
 
 
+def _counts(top: pa.Table, languages: list[str]) -> np.ndarray:
+    """One row of counts per unit, one column per language."""
+    lang, n = top["lang"].combine_chunks(), top["n"].combine_chunks()
+    out = np.zeros((len(top), len(languages)))
+    at = pc.index_in(pc.list_flatten(lang), value_set=pa.array(languages, pa.string()))
+    out[pc.list_parent_indices(lang).to_numpy(zero_copy_only=False), at.to_numpy(zero_copy_only=False)] = pc.list_flatten(n).to_numpy(zero_copy_only=False)
+    return out
+
+
 def learn(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     """Fit on a bounded sample; what reaches the driver is bounded by the kept words and n-grams."""
     small_batches(docs.sparkSession)
     units = sample(docs, sample_rows).mapInPandas(_units, "lang string, kind int, unit string, n long")
     counted = stored(units.groupBy("kind", "unit", "lang").agg(F.sum("n").alias("n")), "units")
-    by_unit = counted.groupBy("kind", "unit").agg(F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"), F.sum("n").alias("all"))
+    by_unit = counted.groupBy("kind", "unit").agg(F.collect_list(F.struct("lang", "n")).alias("by"), F.sum("n").alias("all"))
     totals: dict[tuple[int, str], int] = {(r["kind"], r["lang"]): r["n"] for r in counted.groupBy("kind", "lang").agg(F.sum("n").alias("n")).collect()}
     languages = sorted({lang for _, lang in totals})
     tables: dict[int, dict[str, np.ndarray]] = {}
     for kind in (0, *LENGTHS):
         most = MAX_WORDS if kind == 0 else MAX_GRAMS
-        rows = by_unit.where(F.col("kind") == kind).orderBy(F.desc("all"), "unit").limit(most).collect()
-        under = np.array([totals.get((kind, lang), 0) + SMOOTHING * max(1, len(rows)) for lang in languages])
-        tables[kind] = {
-            r["unit"]: np.log((np.array([r["by"].get(lang, 0) for lang in languages]) + SMOOTHING) / under).astype(np.float32) for r in rows
-        }
+        # as Arrow: the tasks merge their firsts, where collect() would have the driver take those of every task as objects
+        top = by_unit.where(F.col("kind") == kind).orderBy(F.desc("all"), "unit").limit(most).select("unit", "by.lang", "by.n").toArrow()
+        under = np.array([totals.get((kind, lang), 0) + SMOOTHING * max(1, len(top)) for lang in languages])
+        logs = np.log((_counts(top, languages) + SMOOTHING) / under).astype(np.float32)
+        tables[kind] = dict(zip(top["unit"].to_pylist(), logs))
     return Model(languages, tables.pop(0), tables)
 
 

@@ -307,9 +307,9 @@ def candidate_edges(reps: DataFrame, rule: Rule) -> DataFrame:
     spark = reps.sparkSession
     counts = reps.select("sig").mapInArrow(_value_rows, "value long").groupBy("value").count().where(F.col("count") >= COMMON_FROM)
     counts = stored(counts, "values")
-    top = counts.orderBy(F.desc("count"), "value").limit(COMMON_VALUES).toPandas()
-    top = top.sort_values("value")
-    common = spark.sparkContext.broadcast((top["value"].to_numpy(np.int64), top["count"].to_numpy(np.int64)))
+    # as Arrow: the tasks merge their firsts, where toPandas() would have the driver take those of every task as objects
+    top = counts.orderBy(F.desc("count"), "value").limit(COMMON_VALUES).toArrow().sort_by("value")
+    common = spark.sparkContext.broadcast((top["value"].to_numpy(), top["count"].to_numpy()))
     posted = reps.mapInArrow(_post(common, rule.prefix), "value long, rep long, n long, sig binary, blocks long")
     longer = counts.where(F.col("count") > LIST_ROWS)
     if longer.count() > COMMON_VALUES:
